@@ -97,16 +97,25 @@ class _Layer:
         return F.when(F.size(bad) > 0, bad).otherwise(F.array(self.ok))
 
 
-def _emit(spark: SparkSession, wide: DataFrame | None, layers: Sequence[_Layer]) -> DataFrame:
-    """All findings of several layers that share the one-row counts ``wide``."""
+@dataclass(frozen=True)
+class _Check:
+    """Layers that share the one-row counts ``wide``."""
+
+    layers: list[_Layer]
+    wide: DataFrame | None = None
+
+
+def _emit(spark: SparkSession, checks: Sequence[_Check]) -> DataFrame:
+    """Findings of all checks; what the schemas already tell becomes one small frame."""
     parts = []
-    known = [row for layer in layers for row in layer.known]
+    known = [row for check in checks for layer in check.layers for row in layer.known]
     if known:
         parts.append(_findings(spark, known))
-    decided = [layer.decided() for layer in layers if layer.ok is not None]
-    if decided:
-        one = wide if wide is not None else spark.range(1)
-        parts.append(one.select(F.inline(F.concat(*decided))))
+    for check in checks:
+        decided = [layer.decided() for layer in check.layers if layer.ok is not None]
+        if decided:
+            one = check.wide if check.wide is not None else spark.range(1)
+            parts.append(one.select(F.inline(F.concat(*decided))))
     return _union(parts)
 
 
@@ -146,7 +155,12 @@ def check_schema(
     df: DataFrame | None,
     spec: Mapping[str, Sequence[Column]] = CDM,
 ) -> DataFrame:
-    return _findings(spark, schema_findings(table, df.schema if df is not None else None, spec))
+    return _emit(spark, [_schema_check(table, df, spec)])
+
+
+def _schema_check(table: str, df: DataFrame | None, spec: Mapping[str, Sequence[Column]]) -> _Check:
+    rows = schema_findings(table, df.schema if df is not None else None, spec)
+    return _Check([_Layer(rows, [], None)])
 
 
 def check_primary_key(
@@ -156,11 +170,15 @@ def check_primary_key(
     spec: Mapping[str, Sequence[Column]] = CDM,
 ) -> DataFrame:
     """Layer 2: duplicate key groups, at most 20 of them as examples."""
+    return _emit(spark, [_key_check(table, df, spec)])
+
+
+def _key_check(table: str, df: DataFrame | None, spec: Mapping[str, Sequence[Column]]) -> _Check:
     keys = [c for c in spec[table] if c.pk]
     check = f"pk_uniqueness:{', '.join(c.name for c in keys)}"
     present, _ = _split(df, keys)
     if not present:
-        return _findings(spark, [(table, 2, "SKIP", check, MSG_PK_SKIP)])
+        return _Check([_Layer([(table, 2, "SKIP", check, MSG_PK_SKIP)], [], None)])
     names = [c.name for c in present]
     shown = F.concat_ws(
         ", ", *[F.coalesce(F.col(n).cast("string"), F.lit("NULL")) for n in names],
@@ -173,7 +191,7 @@ def check_primary_key(
     )
     message = F.concat(F.lit(MSG_PK_BAD), F.array_join(F.col("groups.text"), ", "))
     bad = (F.size("groups") > 0, _finding(table, 2, "FAIL", check, message))
-    return _emit(spark, examples, [_Layer([], [bad], _finding(table, 2, "PASS", check, MSG_PK_OK))])
+    return _Check([_Layer([], [bad], _finding(table, 2, "PASS", check, MSG_PK_OK))], examples)
 
 
 def concept_usage(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -274,11 +292,21 @@ def check_concepts(
 ) -> DataFrame:
     """Layer 3 (concept ids the vocabulary does not know) and layer 4 (known, but of
     another domain than the column declares), from one scan."""
+    return _emit(spark, [_concept_check(table, df, concept, spec, layers)])
+
+
+def _concept_check(
+    table: str,
+    df: DataFrame | None,
+    concept: DataFrame,
+    spec: Mapping[str, Sequence[Column]],
+    layers: Sequence[int] = (3, 4),
+) -> _Check:
     wanted = [c for c in _concept_columns(table, spec) if 3 in layers or c.domain]
     present, absent = _split(df, wanted)
     made = {3: _fk_layer, 4: _domain_layer}
     wide = _concept_faults(df, present, concept) if present else None
-    return _emit(spark, wide, [made[n](table, present, absent) for n in layers])
+    return _Check([made[n](table, present, absent) for n in layers], wide)
 
 
 def check_concept_fk(
@@ -308,8 +336,12 @@ def check_not_null(
     spec: Mapping[str, Sequence[Column]] = CDM,
 ) -> DataFrame:
     """Layer 5: NULLs in required columns, all columns in one aggregate."""
+    return _emit(spark, [_null_check(table, df, spec)])
+
+
+def _null_check(table: str, df: DataFrame | None, spec: Mapping[str, Sequence[Column]]) -> _Check:
     if not any(_has(df, c.name) for c in spec[table]):
-        return _findings(spark, [(table, 5, "SKIP", "not_null", MSG_TABLE_SKIP)])
+        return _Check([_Layer([(table, 5, "SKIP", "not_null", MSG_TABLE_SKIP)], [], None)])
     present, absent = _split(df, [c for c in spec[table] if c.required])
     skipped = [(table, 5, "SKIP", f"not_null:{c.name}", MSG_COLUMN_SKIP) for c in absent]
     wide = df.agg(
@@ -329,7 +361,7 @@ def check_not_null(
     ok = _finding(
         table, 5, "PASS", "not_null", MSG_NULL_OK + (SOME_SKIPPED if skipped else "")
     )
-    return _emit(spark, wide, [_Layer(skipped, failing, ok)])
+    return _Check([_Layer(skipped, failing, ok)], wide)
 
 
 def validate_table(
@@ -340,14 +372,18 @@ def validate_table(
     spec: Mapping[str, Sequence[Column]] = CDM,
 ) -> DataFrame:
     """All five layers on one table; ``None`` stands for a table that was not built."""
-    return _union(
-        [
-            check_schema(spark, table, df, spec),
-            check_primary_key(spark, table, df, spec),
-            check_concepts(spark, table, df, concept, spec),
-            check_not_null(spark, table, df, spec),
-        ]
-    )
+    return _emit(spark, _table_checks(table, df, concept, spec))
+
+
+def _table_checks(
+    table: str, df: DataFrame | None, concept: DataFrame, spec: Mapping[str, Sequence[Column]]
+) -> list[_Check]:
+    return [
+        _schema_check(table, df, spec),
+        _key_check(table, df, spec),
+        _concept_check(table, df, concept, spec),
+        _null_check(table, df, spec),
+    ]
 
 
 def validate_all(
@@ -357,8 +393,8 @@ def validate_all(
     spec: Mapping[str, Sequence[Column]] = CDM,
 ) -> DataFrame:
     """Every table of the spec, ordered by table, layer and check."""
-    parts = [validate_table(spark, t, tables.get(t), concept, spec) for t in sorted(spec)]
-    return _union(parts).orderBy("table_name", "layer", "check")
+    checks = [c for t in sorted(spec) for c in _table_checks(t, tables.get(t), concept, spec)]
+    return _emit(spark, checks).orderBy("table_name", "layer", "check")
 
 
 def finding_counts(findings: DataFrame) -> DataFrame:

@@ -98,8 +98,9 @@ def collision_audit(
 ) -> DataFrame:
     """Local codes whose mapped target differs from the concept that happens to share the code."""
     frequency = code_frequency(facts, column).filter(F.col("code").isNotNull())
-    rows = facts.agg(F.count(F.lit(1)).alias("all_rows"))
+    total = facts.agg(F.lit(vocabulary_id).alias("source_vocabulary_id"), F.count(F.lit(1)).alias("all_rows"))
     mapped = stcm.filter(F.col("source_vocabulary_id") == vocabulary_id).select(
+        "source_vocabulary_id",
         F.col("source_code").alias("code"), F.col("target_concept_id").alias("mapped_concept_id")
     )
     literal = concept.filter(F.col("vocabulary_id") == vocabulary_id).select(
@@ -110,7 +111,7 @@ def collision_audit(
     )
     return (
         clash.join(frequency, "code", "left")
-        .join(F.broadcast(rows), F.lit(True))
+        .join(F.broadcast(total), "source_vocabulary_id")
         .select(
             "code",
             "mapped_concept_id",

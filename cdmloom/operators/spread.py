@@ -68,8 +68,9 @@ def spread_join(
 ) -> DataFrame:
     """Inner or left equi-join with hot and NULL keys of ``left`` spread over ``spread`` tasks.
 
-    The salt is a hash of the row and its partition number, not a random number,
-    so a repeated task sends every row where the first attempt sent it.
+    A hot key's rows arrive in many input partitions, so the salt is derived from
+    the partition number: no column has to be read for it, and a repeated task
+    sends every row where the first attempt sent it, whatever order it reads in.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"cannot spread a {how} join")
@@ -78,7 +79,7 @@ def spread_join(
     no_key = F.lit(False)
     for k in lkeys:
         no_key = no_key | k.isNull()
-    scattered = F.expr(f"cast(pmod(xxhash64(*, spark_partition_id()), {spread}) as int)")
+    scattered = F.expr(f"cast(pmod(xxhash64(spark_partition_id()), {spread}) as int)")
     left = left.withColumn(
         "__salt", F.when(no_key | _key_hash(lkeys).isin(hot), scattered).otherwise(F.lit(0))
     )

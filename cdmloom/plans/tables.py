@@ -4,7 +4,7 @@ Each recipe returns a :class:`TableSpec` to adapt with ``dataclasses.replace``
 or to feed to :func:`cdmloom.plans.build.build_table` as it is. ``key`` builds
 the surrogate key expression; ``complete`` adds typed NULLs for every target
 column the bronze tables cannot fill. ``orphans`` says what happens to facts
-whose encounter, and so person, is unknown: ``"fail"`` or ``"drop"``.
+whose encounter, and so person, is unknown: ``"fail"``, ``"drop"`` or ``"keep"``.
 """
 
 from __future__ import annotations
@@ -108,8 +108,10 @@ def _fact_rules(style: Style, pk: str, *more: Rule, concept: str | None = None)
     dropping: tuple[Rule, ...] = tuple(more)
     if style.orphans == "drop":
         dropping = (person, *dropping)
-    else:
+    elif style.orphans == "fail":
         failing = (*failing, person)
+    elif style.orphans != "keep":
+        raise ValueError(f"orphans must be fail, drop or keep, not {style.orphans!r}")
     warn = (Rule("known_concept", f"{concept} != 0"),) if concept else ()
     return Rules(failing, dropping, warn)
 

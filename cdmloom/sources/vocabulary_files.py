@@ -56,6 +56,27 @@ def load_vocabulary(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return out
 
 
+# Columns the stored tables are laid out by, so lookups skip most row groups.
+STORED_ORDER = {
+    "concept": ("vocabulary_id", "concept_code"),
+    "concept_relationship": ("relationship_id", "concept_id_1"),
+    "source_to_concept_map": ("source_vocabulary_id", "source_code"),
+}
+
+
+def store_vocabulary(tables: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+    """Replace the tables under ``folder`` by a new load and read them back."""
+    out = {}
+    for name, df in tables.items():
+        path = f"{folder.rstrip('/')}/{name}"
+        order = STORED_ORDER.get(name)
+        if order:
+            df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        df.write.mode("overwrite").parquet(path)
+        out[name] = df.sparkSession.read.parquet(path)
+    return out
+
+
 def table_row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows per table."""
     out = None

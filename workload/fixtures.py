@@ -7,13 +7,16 @@ that Spark and DuckDB read alike, so both sides start from the same rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cdmloom.model.vocabulary import Vocabulary
+from cdmloom.operators.durable import scratch_path
 from cdmloom.operators.spread import configure
+from cdmloom.sources.vocabulary_files import store_vocabulary
 
 BASE_TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -378,25 +381,51 @@ def fixture_sql(name: str) -> str:
     return " union all ".join(p.sql() for p in FIXTURES[name])
 
 
+# The vocabulary is loaded once and then read by every lookup, as in production.
+LOADED = {
+    "concept": "concept",
+    "concept_after": "concept",
+    "concept_relationship": "concept_relationship",
+    "concept_relationship_after": "concept_relationship",
+    "source_to_concept_map": "source_to_concept_map",
+}
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Data:
-    """The fixtures of one data folder as lazy DataFrames."""
+    """The fixtures of one data folder: bronze tables lazily, vocabulary tables as stored files."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = configure(spark)
         self.sf_dir = sf_dir.rstrip("/")
-        self._made: dict[str, DataFrame] = {}
 
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def stored(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """What ``make`` gives, written out once per session and folder."""
+        at = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if at not in _STORED:
+            _STORED[at] = make()
+        return _STORED[at]
+
+    def derive(self, name: str) -> DataFrame:
+        out = None
+        for part in FIXTURES[name]:
+            one = part.frame(self)
+            out = one if out is None else out.unionByName(one)
+        return out
+
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._made:
-            out = None
-            for part in FIXTURES[name]:
-                one = part.frame(self)
-                out = one if out is None else out.unionByName(one)
-            self._made[name] = out
-        return self._made[name]
+        if name not in LOADED:
+            return self.derive(name)
+
+        def load() -> DataFrame:
+            table = LOADED[name]
+            folder = scratch_path(self.spark, f"vocabulary-{name}")
+            return store_vocabulary({table: self.derive(name)}, folder)[table]
+
+        return self.stored(name, load)
 
     @cached_property
     def vocab(self) -> Vocabulary:
