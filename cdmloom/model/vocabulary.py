@@ -5,7 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+
+from cdmloom.model.types import layout
 
 # Vocabulary table layouts. Validity dates stay text, as in the files.
 _CONCEPT = (
@@ -13,7 +14,7 @@ _CONCEPT = (
     "concept_class_id STRING, standard_concept STRING, concept_code STRING, "
     "valid_start_date STRING, valid_end_date STRING, invalid_reason STRING"
 )
-VOCABULARY_TABLES = {
+_LAYOUTS = {
     "concept": _CONCEPT,
     "concept_relationship": (
         "concept_id_1 INT, concept_id_2 INT, relationship_id STRING, "
@@ -42,9 +43,10 @@ VOCABULARY_TABLES = {
     ),
     "concept_cpt4": _CONCEPT,
 }
+VOCABULARY_TABLES = {name: layout(columns) for name, columns in _LAYOUTS.items()}
 
 # Fixed value: layout of the source-to-concept map, in file order.
-CONCEPT_MAP = (
+CONCEPT_MAP = layout(
     "source_code STRING, source_concept_id INT, source_vocabulary_id STRING, "
     "source_code_description STRING, target_concept_id INT, target_vocabulary_id STRING, "
     "valid_start_date DATE, valid_end_date DATE, invalid_reason STRING"
@@ -53,10 +55,6 @@ CONCEPT_MAP = (
 CONCEPT_MAP_KEY = ("source_code", "source_vocabulary_id")
 
 
-def schema(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
-
-
 @dataclass(frozen=True)
 class Vocabulary:
     """The reference tables a lookup reads; ``crosswalk`` is the optional prepared form."""

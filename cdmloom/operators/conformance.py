@@ -1,17 +1,16 @@
 """Five layers of checks on finished tables; every result is a findings DataFrame.
 
-Findings are rows (table_name, layer, status, check, message). Columns that layer
-1 reports missing are skipped later. Per table there are three scans: one aggregate
-for NULLs, one for the key, and one count per distinct concept id that serves
-layers 3 and 4 together.
+Findings are rows (table_name, layer, status, check, message). What a schema alone
+tells is decided on the driver. The rest comes from three scans per table: one
+aggregate for NULLs, one group count of the key, and one count per distinct
+concept id that serves layers 3 and 4. The concept counts of all tables meet the
+concept table in a single join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import Column as SqlColumn
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -46,7 +45,7 @@ MSG_TABLE_SKIP = "table missing from actual catalog (Layer 1)"
 MSG_FK_BAD = "%s: %d rows with concept_id not in reference.concept"
 MSG_FK_OK = "all non-null non-zero concept_ids resolve to reference.concept"
 MSG_FK_ALL_SKIPPED = "all concept_id checks skipped (every concept column missing per Layer 1)"
-MSG_DOMAIN_BAD = "%s: %d rows with domain_id <> {0}"
+MSG_DOMAIN_BAD = "%s: %d rows with domain_id <> %s"
 MSG_DOMAIN_OK = "domain checks for annotated concept columns"
 MSG_DOMAIN_ALL_SKIPPED = (
     "all domain checks skipped (every annotated concept column missing per Layer 1)"
@@ -55,75 +54,35 @@ MSG_NULL_BAD = "%s: %d NULL rows (%.2f%% of %d)"
 MSG_NULL_OK = "required (non-nullable) columns have no NULLs"
 SOME_SKIPPED = " (some skipped per Layer 1)"
 
+LAYERS = (1, 2, 3, 4, 5)
 
 
-def _findings(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
-    return spark.createDataFrame(list(rows), FINDING)
-
-
-def _has(df: DataFrame | None, name: str) -> bool:
-    return df is not None and name.lower() in {c.lower() for c in df.columns}
-
-
-def _split(df: DataFrame | None, wanted: Sequence[Column]) -> tuple[list[Column], list[Column]]:
-    present = [c for c in wanted if _has(df, c.name)]
-    return present, [c for c in wanted if not _has(df, c.name)]
-
-
-def _finding(table: str, layer: int, status: str, check: str, message) -> SqlColumn:
-    text = message if isinstance(message, SqlColumn) else F.lit(message)
-    return F.struct(
-        F.lit(table).alias("table_name"),
-        F.lit(layer).alias("layer"),
-        F.lit(status).alias("status"),
-        F.lit(check).alias("check"),
-        text.alias("message"),
-    )
-
-
-@dataclass(frozen=True)
-class _Layer:
-    """Findings of one layer: those known from the schema, and those one row of counts decides."""
-
-    known: list[tuple]
-    failing: list[tuple[SqlColumn, SqlColumn]]
-    ok: SqlColumn | None
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
-    def decided(self) -> SqlColumn:
-        """Array of the failing checks, or of the PASS finding when none fails."""
-        if not self.failing:
-            return F.array(self.ok)
-        bad = F.array_compact(F.array(*[F.when(cond, found) for cond, found in self.failing]))
-        return F.when(F.size(bad) > 0, bad).otherwise(F.array(self.ok))
 
+def _names(df: DataFrame | None) -> set[str]:
+    return set() if df is None else {c.lower() for c in df.columns}
 
-@dataclass(frozen=True)
-class _Check:
-    """Layers that share the one-row counts ``wide``."""
 
-    layers: list[_Layer]
-    wide: DataFrame | None = None
+def _split(found: set[str], wanted: Sequence[Column]) -> tuple[list[Column], list[Column]]:
+    present = [c for c in wanted if c.name.lower() in found]
+    return present, [c for c in wanted if c.name.lower() not in found]
 
 
-def _emit(spark: SparkSession, checks: Sequence[_Check]) -> DataFrame:
-    """Findings of all checks; what the schemas already tell becomes one small frame."""
-    parts = []
-    known = [row for check in checks for layer in check.layers for row in layer.known]
-    if known:
-        parts.append(_findings(spark, known))
-    for check in checks:
-        decided = [layer.decided() for layer in check.layers if layer.ok is not None]
-        if decided:
-            one = check.wide if check.wide is not None else spark.range(1)
-            parts.append(one.select(F.inline(F.concat(*decided))))
-    return _union(parts)
+def _text(value: str | None) -> str:
+    return "cast(null as string)" if value is None else "'" + value.replace("'", "\\'") + "'"
 
 
-def _union(parts: Sequence[DataFrame]) -> DataFrame:
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _cells(rows: Sequence[Mapping[str, str]]) -> str:
+    """SQL turning one row into several: one struct of expressions per entry."""
+    structs = ", ".join(
+        "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in r.items()) + ")" for r in rows
+    )
+    return f"inline(array({structs}))"
 
 
 def schema_findings(
@@ -149,164 +108,178 @@ def schema_findings(
     return out or [(table, 1, "PASS", "schema", MSG_SCHEMA_OK)]
 
 
-def check_schema(
-    spark: SparkSession,
-    table: str,
-    df: DataFrame | None,
-    spec: Mapping[str, Sequence[Column]] = CDM,
-) -> DataFrame:
-    return _emit(spark, [_schema_check(table, df, spec)])
+def _column_layer(
+    table: str, layer: int, name: str, present: Sequence, absent: Sequence, ok: str, all_skipped: str
+) -> list[tuple]:
+    """SKIP rows of a layer, and its PASS row, which stands unless a column fails."""
+    rows = [(table, layer, "SKIP", f"{name}:{c.name}", MSG_COLUMN_SKIP) for c in absent]
+    if absent and not present:
+        return [*rows, (table, layer, "SKIP", name, all_skipped)]
+    return [*rows, (table, layer, "PASS", name, ok + (SOME_SKIPPED if absent else ""))]
 
 
-def _schema_check(table: str, df: DataFrame | None, spec: Mapping[str, Sequence[Column]]) -> _Check:
-    rows = schema_findings(table, df.schema if df is not None else None, spec)
-    return _Check([_Layer(rows, [], None)])
+def _key_failures(table: str, df: DataFrame, keys: Sequence[str], check: str) -> DataFrame:
+    """One row when key groups repeat, showing the first of them."""
+    parts = ", ".join(f"coalesce(cast(`{k}` as string), 'NULL')" for k in keys)
+    at = ", ".join(f"`{k}`" for k in keys)
+    return (
+        duplicate_keys(df, keys, TOP)
+        .selectExpr(f"struct({at}) as at", f"concat('[', concat_ws(', ', {parts}, n), ']') as shown")
+        .selectExpr("array_sort(collect_list(struct(at, shown))).shown as shown")
+        .filter("size(shown) > 0")
+        .selectExpr(
+            f"{_text(table)} as table_name",
+            "2 as layer",
+            f"{_text(check)} as check",
+            f"concat({_text(MSG_PK_BAD)}, array_join(shown, ', ')) as message",
+        )
+    )
 
 
-def check_primary_key(
-    spark: SparkSession,
-    table: str,
-    df: DataFrame | None,
-    spec: Mapping[str, Sequence[Column]] = CDM,
-) -> DataFrame:
-    """Layer 2: duplicate key groups, at most 20 of them as examples."""
-    return _emit(spark, [_key_check(table, df, spec)])
-
-
-def _key_check(table: str, df: DataFrame | None, spec: Mapping[str, Sequence[Column]]) -> _Check:
-    keys = [c for c in spec[table] if c.pk]
-    check = f"pk_uniqueness:{', '.join(c.name for c in keys)}"
-    present, _ = _split(df, keys)
-    if not present:
-        return _Check([_Layer([(table, 2, "SKIP", check, MSG_PK_SKIP)], [], None)])
-    names = [c.name for c in present]
-    shown = F.concat_ws(
-        ", ", *[F.coalesce(F.col(n).cast("string"), F.lit("NULL")) for n in names],
-        F.col("n").cast("string"),
-    )
-    examples = (
-        duplicate_keys(df, names, TOP)
-        .select(F.struct(*names).alias("at"), F.concat(F.lit("["), shown, F.lit("]")).alias("text"))
-        .agg(F.sort_array(F.collect_list(F.struct("at", "text"))).alias("groups"))
+def _null_failures(table: str, df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    counts = [f"count_if(`{c}` is null) as `null_{c}`" for c in columns]
+    cells = [{"name": _text(c), "n": f"`null_{c}`"} for c in columns]
+    return (
+        df.selectExpr("count(1) as total", *counts)
+        .selectExpr("total", _cells(cells))
+        .filter("n > 0")
+        .selectExpr(
+            f"{_text(table)} as table_name",
+            "5 as layer",
+            "concat('not_null:', name) as check",
+            f"format_string({_text(MSG_NULL_BAD)}, name, n, bround(n * 100.0D / total, 2), total) as message",
+        )
     )
-    message = F.concat(F.lit(MSG_PK_BAD), F.array_join(F.col("groups.text"), ", "))
-    bad = (F.size("groups") > 0, _finding(table, 2, "FAIL", check, message))
-    return _Check([_Layer([], [bad], _finding(table, 2, "PASS", check, MSG_PK_OK))], examples)
 
 
-def concept_usage(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def concept_usage(table: str, df: DataFrame, columns: Sequence[Column]) -> DataFrame:
     """Rows per (column, concept id) over several columns in one scan; NULL and 0 left out."""
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("bigint").alias("concept_id"))
-            for c in columns
-        ]
-    )
+    cells = [
+        {
+            "column_name": _text(c.name),
+            "domain": _text(c.domain),
+            "concept_id": f"cast(`{c.name}` as bigint)",
+        }
+        for c in columns
+    ]
     return (
-        df.select(F.inline(cells))
-        .filter(F.col("concept_id") != 0)
-        .groupBy("column_name", "concept_id")
+        df.selectExpr(_cells(cells))
+        .filter("concept_id <> 0")
+        .groupBy("column_name", "domain", "concept_id")
         .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("table_name", F.lit(table))
     )
 
 
-def _concept_faults(df: DataFrame, columns: Sequence[Column], concept: DataFrame) -> DataFrame:
-    """One row: per column the rows with an unknown concept and with a wrong domain."""
-    names = [c.name for c in columns]
-    known = concept.select(
-        F.col("concept_id").cast("bigint").alias("concept_id"),
-        F.lit(True).alias("known"),
-        "domain_id",
-    )
-    used = concept_usage(df, names).join(known, "concept_id", "left")
-
-    def rows(column: str, fault: SqlColumn) -> SqlColumn:
-        hit = (F.col("column_name") == column) & fault
-        return F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0))
-
-    return used.agg(
-        *[rows(c.name, F.col("known").isNull()).alias(f"fk_{c.name}") for c in columns],
-        *[
-            rows(c.name, F.col("domain_id") != c.domain).alias(f"domain_{c.name}")
-            for c in columns
-            if c.domain
-        ],
-    )
-
-
-def _column_layer(
-    table: str,
-    layer: int,
-    name: str,
-    present: Sequence[Column],
-    absent: Sequence[Column],
-    prefix: str,
-    bad_message,
-    ok_message: str,
-    all_skipped: str,
-) -> _Layer:
-    skipped = [(table, layer, "SKIP", f"{name}:{c.name}", MSG_COLUMN_SKIP) for c in absent]
-    if absent and not present:
-        return _Layer([*skipped, (table, layer, "SKIP", name, all_skipped)], [], None)
-    failing = [
-        (
-            F.col(f"{prefix}{c.name}") > 0,
-            _finding(table, layer, "FAIL", f"{name}:{c.name}", bad_message(c)),
+def _concept_failures(
+    usages: Sequence[DataFrame], concept: DataFrame, layers: Sequence[int]
+) -> DataFrame:
+    """Failing columns of layers 3 and 4 for all tables together."""
+    known = concept.selectExpr("cast(concept_id as bigint) as concept_id", "domain_id", "true as known")
+    checks = {
+        3: {"check": "concat('concept_fk:', column_name)", "n": "unknown",
+            "message": f"format_string({_text(MSG_FK_BAD)}, column_name, unknown)"},
+        4: {"check": "concat('domain:', column_name)", "n": "misplaced",
+            "message": f"format_string({_text(MSG_DOMAIN_BAD)}, column_name, misplaced, domain)"},
+    }
+    cells = [{"layer": str(n), **checks[n]} for n in layers]
+    return (
+        _union(usages)
+        .join(known, "concept_id", "left")
+        .groupBy("table_name", "column_name", "domain")
+        .agg(
+            F.expr("sum(if(known is null, n, 0)) as unknown"),
+            F.expr("sum(if(domain_id <> domain, n, 0)) as misplaced"),
         )
-        for c in present
-    ]
-    ok = _finding(table, layer, "PASS", name, ok_message + (SOME_SKIPPED if skipped else ""))
-    return _Layer(skipped, failing, ok)
-
-
-def _concept_columns(table: str, spec: Mapping[str, Sequence[Column]]) -> list[Column]:
-    return [c for c in spec[table] if c.name.endswith("_concept_id")]
-
-
-def _fk_layer(table: str, present: Sequence[Column], absent: Sequence[Column]) -> _Layer:
-    return _column_layer(
-        table, 3, "concept_fk", present, absent, "fk_",
-        lambda c: F.format_string(MSG_FK_BAD, F.lit(c.name), F.col(f"fk_{c.name}")),
-        MSG_FK_OK, MSG_FK_ALL_SKIPPED,
+        .selectExpr("table_name", _cells(cells))
+        .filter("n > 0")
+        .drop("n")
     )
 
 
-def _domain_layer(table: str, present: Sequence[Column], absent: Sequence[Column]) -> _Layer:
-    return _column_layer(
-        table, 4, "domain",
-        [c for c in present if c.domain], [c for c in absent if c.domain], "domain_",
-        lambda c: F.format_string(
-            MSG_DOMAIN_BAD.format(c.domain), F.lit(c.name), F.col(f"domain_{c.name}")
-        ),
-        MSG_DOMAIN_OK, MSG_DOMAIN_ALL_SKIPPED,
+def findings(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame | None],
+    concept: DataFrame | None = None,
+    spec: Mapping[str, Sequence[Column]] = CDM,
+    layers: Sequence[int] = LAYERS,
+) -> DataFrame:
+    """Findings of the wanted layers; a table given as ``None`` was not built.
+
+    Columns that layer 1 finds missing are skipped by the others.
+    """
+    told: list[tuple] = []
+    failures: list[DataFrame] = []
+    usages: list[DataFrame] = []
+    for table, df in sorted(tables.items()):
+        found, columns = _names(df), spec[table]
+        if 1 in layers:
+            told += schema_findings(table, df.schema if df is not None else None, spec)
+        if 2 in layers:
+            keys = [c for c in columns if c.pk]
+            check = f"pk_uniqueness:{', '.join(c.name for c in keys)}"
+            present, _ = _split(found, keys)
+            if present:
+                told.append((table, 2, "PASS", check, MSG_PK_OK))
+                failures.append(_key_failures(table, df, [c.name for c in present], check))
+            else:
+                told.append((table, 2, "SKIP", check, MSG_PK_SKIP))
+        if 3 in layers or 4 in layers:
+            concepts = [c for c in columns if c.name.endswith("_concept_id")]
+            if 3 in layers:
+                told += _column_layer(
+                    table, 3, "concept_fk", *_split(found, concepts), MSG_FK_OK, MSG_FK_ALL_SKIPPED
+                )
+            if 4 in layers:
+                placed = [c for c in concepts if c.domain]
+                told += _column_layer(
+                    table, 4, "domain", *_split(found, placed), MSG_DOMAIN_OK, MSG_DOMAIN_ALL_SKIPPED
+                )
+                concepts = concepts if 3 in layers else placed
+            present, _ = _split(found, concepts)
+            if present:
+                usages.append(concept_usage(table, df, present))
+        if 5 in layers and not found:
+            told.append((table, 5, "SKIP", "not_null", MSG_TABLE_SKIP))
+        elif 5 in layers:
+            present, absent = _split(found, [c for c in columns if c.required])
+            told += [(table, 5, "SKIP", f"not_null:{c.name}", MSG_COLUMN_SKIP) for c in absent]
+            told.append((table, 5, "PASS", "not_null", MSG_NULL_OK + (SOME_SKIPPED if absent else "")))
+            if present:
+                failures.append(_null_failures(table, df, [c.name for c in present]))
+    if usages:
+        failures.append(_concept_failures(usages, concept, [n for n in (3, 4) if n in layers]))
+
+    rows = spark.createDataFrame(told, FINDING)
+    if not failures:
+        return rows
+    failed = _union(failures).withColumn("status", F.lit("FAIL"))
+    # A PASS row gives way to the failures of its layer; a layer has at most one row per column.
+    return (
+        rows.unionByName(failed)
+        .groupBy("table_name", "layer")
+        .agg(
+            F.expr("collect_list(struct(status, check, message)) as found"),
+            F.expr("count_if(status = 'FAIL') > 0 as bad"),
+        )
+        .selectExpr(
+            "table_name", "layer", "inline(filter(found, f -> not (bad and f.status = 'PASS')))"
+        )
     )
 
 
-def check_concepts(
-    spark: SparkSession,
-    table: str,
-    df: DataFrame | None,
-    concept: DataFrame,
-    spec: Mapping[str, Sequence[Column]] = CDM,
-    layers: Sequence[int] = (3, 4),
+def check_schema(
+    spark: SparkSession, table: str, df: DataFrame | None, spec: Mapping[str, Sequence[Column]] = CDM
 ) -> DataFrame:
-    """Layer 3 (concept ids the vocabulary does not know) and layer 4 (known, but of
-    another domain than the column declares), from one scan."""
-    return _emit(spark, [_concept_check(table, df, concept, spec, layers)])
+    """Layer 1: missing, extra and mistyped columns."""
+    return findings(spark, {table: df}, None, spec, (1,))
 
 
-def _concept_check(
-    table: str,
-    df: DataFrame | None,
-    concept: DataFrame,
-    spec: Mapping[str, Sequence[Column]],
-    layers: Sequence[int] = (3, 4),
-) -> _Check:
-    wanted = [c for c in _concept_columns(table, spec) if 3 in layers or c.domain]
-    present, absent = _split(df, wanted)
-    made = {3: _fk_layer, 4: _domain_layer}
-    wide = _concept_faults(df, present, concept) if present else None
-    return _Check([made[n](table, present, absent) for n in layers], wide)
+def check_primary_key(
+    spark: SparkSession, table: str, df: DataFrame | None, spec: Mapping[str, Sequence[Column]] = CDM
+) -> DataFrame:
+    """Layer 2: duplicate key groups, at most 20 of them as examples; NULL keys group together."""
+    return findings(spark, {table: df}, None, spec, (2,))
 
 
 def check_concept_fk(
@@ -316,7 +289,8 @@ def check_concept_fk(
     concept: DataFrame,
     spec: Mapping[str, Sequence[Column]] = CDM,
 ) -> DataFrame:
-    return check_concepts(spark, table, df, concept, spec, (3,))
+    """Layer 3: concept ids the concept table does not know; NULL and 0 are exempt."""
+    return findings(spark, {table: df}, concept, spec, (3,))
 
 
 def check_domain(
@@ -326,42 +300,15 @@ def check_domain(
     concept: DataFrame,
     spec: Mapping[str, Sequence[Column]] = CDM,
 ) -> DataFrame:
-    return check_concepts(spark, table, df, concept, spec, (4,))
+    """Layer 4: known concepts of another domain than the column declares."""
+    return findings(spark, {table: df}, concept, spec, (4,))
 
 
 def check_not_null(
-    spark: SparkSession,
-    table: str,
-    df: DataFrame | None,
-    spec: Mapping[str, Sequence[Column]] = CDM,
+    spark: SparkSession, table: str, df: DataFrame | None, spec: Mapping[str, Sequence[Column]] = CDM
 ) -> DataFrame:
-    """Layer 5: NULLs in required columns, all columns in one aggregate."""
-    return _emit(spark, [_null_check(table, df, spec)])
-
-
-def _null_check(table: str, df: DataFrame | None, spec: Mapping[str, Sequence[Column]]) -> _Check:
-    if not any(_has(df, c.name) for c in spec[table]):
-        return _Check([_Layer([(table, 5, "SKIP", "not_null", MSG_TABLE_SKIP)], [], None)])
-    present, absent = _split(df, [c for c in spec[table] if c.required])
-    skipped = [(table, 5, "SKIP", f"not_null:{c.name}", MSG_COLUMN_SKIP) for c in absent]
-    wide = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(F.col(c.name).isNull()).alias(f"null_{c.name}") for c in present],
-    )
-
-    def bad(c: Column) -> SqlColumn:
-        n = F.col(f"null_{c.name}")
-        share = n * 100.0 / F.col("total")
-        return F.format_string(MSG_NULL_BAD, F.lit(c.name), n, share, F.col("total"))
-
-    failing = [
-        (F.col(f"null_{c.name}") > 0, _finding(table, 5, "FAIL", f"not_null:{c.name}", bad(c)))
-        for c in present
-    ]
-    ok = _finding(
-        table, 5, "PASS", "not_null", MSG_NULL_OK + (SOME_SKIPPED if skipped else "")
-    )
-    return _Check([_Layer(skipped, failing, ok)], wide)
+    """Layer 5: NULLs in required columns."""
+    return findings(spark, {table: df}, None, spec, (5,))
 
 
 def validate_table(
@@ -371,19 +318,8 @@ def validate_table(
     concept: DataFrame,
     spec: Mapping[str, Sequence[Column]] = CDM,
 ) -> DataFrame:
-    """All five layers on one table; ``None`` stands for a table that was not built."""
-    return _emit(spark, _table_checks(table, df, concept, spec))
-
-
-def _table_checks(
-    table: str, df: DataFrame | None, concept: DataFrame, spec: Mapping[str, Sequence[Column]]
-) -> list[_Check]:
-    return [
-        _schema_check(table, df, spec),
-        _key_check(table, df, spec),
-        _concept_check(table, df, concept, spec),
-        _null_check(table, df, spec),
-    ]
+    """All five layers on one table."""
+    return findings(spark, {table: df}, concept, spec)
 
 
 def validate_all(
@@ -393,31 +329,24 @@ def validate_all(
     spec: Mapping[str, Sequence[Column]] = CDM,
 ) -> DataFrame:
     """Every table of the spec, ordered by table, layer and check."""
-    checks = [c for t in sorted(spec) for c in _table_checks(t, tables.get(t), concept, spec)]
-    return _emit(spark, checks).orderBy("table_name", "layer", "check")
+    every = {t: tables.get(t) for t in spec}
+    return findings(spark, every, concept, spec).orderBy("table_name", "layer", "check")
 
 
-def finding_counts(findings: DataFrame) -> DataFrame:
-    return findings.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+def finding_counts(found: DataFrame) -> DataFrame:
+    return found.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-def layer_summary(findings: DataFrame) -> DataFrame:
+def layer_summary(found: DataFrame) -> DataFrame:
     """Per table and layer: findings by status, and whether the layer failed.
 
     Layer 1 fails on extra columns too, although those are only warnings.
     """
 
-    def having(status: str) -> SqlColumn:
-        return F.count_if(F.col("status") == status)
-
+    named = {"FAIL": "failed", "WARN": "warned", "SKIP": "skipped", "PASS": "passed"}
     return (
-        findings.groupBy("table_name", "layer")
-        .agg(
-            having("FAIL").alias("failed"),
-            having("WARN").alias("warned"),
-            having("SKIP").alias("skipped"),
-            having("PASS").alias("passed"),
-        )
+        found.groupBy("table_name", "layer")
+        .agg(*[F.count_if(F.col("status") == s).alias(n) for s, n in named.items()])
         .withColumn(
             "layer_failed",
             (F.col("failed") > 0) | ((F.col("layer") == 1) & (F.col("warned") > 0)),
@@ -425,12 +354,12 @@ def layer_summary(findings: DataFrame) -> DataFrame:
     )
 
 
-def gate_on_findings(findings: DataFrame) -> DataFrame:
+def gate_on_findings(found: DataFrame) -> DataFrame:
     """The findings again; raises when any of them is a failure."""
-    failed = findings.filter(F.col("status") == "FAIL").count()
+    failed = found.filter(F.col("status") == "FAIL").count()
     if failed:
         raise RuntimeError(f"{failed} conformance checks failed")
-    return findings
+    return found
 
 
 def anti_concept_fk(
@@ -456,9 +385,10 @@ def check_table_fk(
     """
     out = None
     for table in sorted(tables):
+        found = _names(tables[table])
         for c in spec[table]:
             parent = (c.fk or "concept.").split(".")[0]
-            if parent == "concept" or parent not in tables or not _has(tables[table], c.name):
+            if parent == "concept" or parent not in tables or c.name.lower() not in found:
                 continue
             key = c.fk.split(".")[1]
             used = (
@@ -492,7 +422,7 @@ def standard_rate(df: DataFrame, columns: Sequence[str], concept: DataFrame) ->
     )
     standard = F.sum(F.when(F.col("standard"), F.col("n")).otherwise(0))
     return (
-        concept_usage(df, columns)
+        concept_usage("", df, [Column(c, "INT") for c in columns])
         .join(flags, "concept_id", "left")
         .groupBy("column_name")
         .agg(F.sum("n").alias("used_rows"), standard.alias("standard_rows"))

@@ -20,7 +20,7 @@ SAMPLE_SIZE = 20
 
 def percentage(part: Column, whole: Column) -> Column:
     """Text with one decimal, ``n/a`` for an empty whole."""
-    return F.when(whole == 0, "n/a").otherwise(F.format_string("%.1f%%", part * 100.0 / whole))
+    return F.when(whole == 0, "n/a").otherwise(F.format_string("%.1f%%", F.bround(part * 100.0 / whole, 1)))
 
 
 def _totals() -> list[Column]:

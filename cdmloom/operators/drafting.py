@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cdmloom.model.vocabulary import CONCEPT_MAP, schema
+from cdmloom.model.vocabulary import CONCEPT_MAP
 from cdmloom.operators.codes import lookup_concept_by_code, lookup_maps_to
 
 # The five outcomes.
@@ -104,7 +104,7 @@ def _as_map(rows: DataFrame, valid_from: str, valid_to: str) -> DataFrame:
             "valid_end_date": F.lit(valid_to),
             "invalid_reason": F.lit(""),
         }
-    ).select(*schema(CONCEPT_MAP).names)
+    ).select(*CONCEPT_MAP.names)
 
 
 def draft_concept_map(

@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdmloom.functions.values import blank_to_null, compact_date
-from cdmloom.model.vocabulary import CONCEPT_MAP, CONCEPT_MAP_KEY, schema
+from cdmloom.model.vocabulary import CONCEPT_MAP, CONCEPT_MAP_KEY
 
-MAP_COLUMNS = tuple(schema(CONCEPT_MAP).names)
+MAP_COLUMNS = tuple(CONCEPT_MAP.names)
 
 
 def normalize_seed_map(raw: DataFrame) -> DataFrame:

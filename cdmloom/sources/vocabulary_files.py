@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cdmloom.functions.values import blank_to_null
-from cdmloom.model.vocabulary import VOCABULARY_TABLES, schema
+from cdmloom.model.vocabulary import VOCABULARY_TABLES
 
 # Fixed value: tables a load must not leave empty.
 REQUIRED_TABLES = ("concept", "concept_relationship")
@@ -29,7 +29,7 @@ def read_vocabulary_file(spark: SparkSession, path: str, table: str) -> DataFram
     Quotes are ordinary characters here: concept names contain unbalanced ones.
     A blank ``invalid_reason`` or ``standard_concept`` means NULL.
     """
-    shape = schema(VOCABULARY_TABLES[table])
+    shape = VOCABULARY_TABLES[table]
     try:
         raw = (
             spark.read.option("header", True)
@@ -50,9 +50,9 @@ def read_vocabulary_file(spark: SparkSession, path: str, table: str) -> DataFram
 def load_vocabulary(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """All vocabulary tables under ``folder``; a missing file gives an empty table."""
     out = {}
-    for table, ddl in VOCABULARY_TABLES.items():
+    for table, shape in VOCABULARY_TABLES.items():
         read = read_vocabulary_file(spark, f"{folder.rstrip('/')}/{table.upper()}.csv", table)
-        out[table] = spark.createDataFrame([], schema(ddl)) if read is None else read
+        out[table] = spark.createDataFrame([], shape) if read is None else read
     return out
 
 

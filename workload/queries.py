@@ -22,7 +22,7 @@ from cdmloom.model.spec import (
     Source,
     TableSpec,
 )
-from cdmloom.model.vocabulary import CONCEPT_MAP, VOCABULARY_TABLES, Vocabulary, schema
+from cdmloom.model.vocabulary import CONCEPT_MAP, VOCABULARY_TABLES, Vocabulary
 from cdmloom.operators import codes, concepts, conformance, coverage, drafting, eras
 from cdmloom.operators import expectations, profiling, refresh
 from cdmloom.operators.durable import durable, scratch_path
@@ -81,7 +81,7 @@ def cast_to_schema(data: Data) -> DataFrame:
         F.lit("20991231").alias("valid_end_date"),
         F.lit(None).cast("string").alias("invalid_reason"),
     )
-    return vocabulary_files.cast_to_schema(text, schema(VOCABULARY_TABLES["concept_relationship"]))
+    return vocabulary_files.cast_to_schema(text, VOCABULARY_TABLES["concept_relationship"])
 
 
 @query
@@ -136,7 +136,7 @@ def write_draft_map(data: Data) -> DataFrame:
     path = scratch_path(data.spark, "draft")
     concept_map.write_draft_map(draft_concept_map(data), path)
     read = data.spark.read.option("header", True).csv(path)
-    return read.na.fill("").select(*schema(CONCEPT_MAP).names)
+    return read.na.fill("").select(*CONCEPT_MAP.names)
 
 
 # Projections and filters
