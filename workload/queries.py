@@ -25,7 +25,7 @@ from cdmloom.model.spec import (
 from cdmloom.model.vocabulary import CONCEPT_MAP, VOCABULARY_TABLES, Vocabulary
 from cdmloom.operators import codes, concepts, conformance, coverage, drafting, eras
 from cdmloom.operators import expectations, profiling, refresh
-from cdmloom.operators.durable import durable, scratch_path
+from cdmloom.operators.durable import scratch_path
 from cdmloom.operators.joins import join_sources
 from cdmloom.operators.lookups import apply_lookups, write_crosswalk
 from cdmloom.operators.projection import append_lookup_targets, map_columns
@@ -745,7 +745,9 @@ def build_table_query(data: Data) -> DataFrame:
 
 def _stored(data: Data, table: str) -> DataFrame:
     """A finished table, complete with its empty columns, written once per session."""
-    return data.stored(table, lambda: durable(_build(data, table, WHOLE)))
+    return data.stored(
+        table, lambda: write_target(_build(data, table, WHOLE), scratch_path(data.spark, table))
+    )
 
 
 def _faulty_person(data: Data) -> DataFrame:
@@ -785,11 +787,12 @@ def _make_faulty_conditions(data: Data) -> DataFrame:
         {"dx": data["encounter_diagnosis"], "enc": data["encounter"]},
         data.vocab,
     )
-    return durable(
+    altered = (
         rows.drop("stop_reason", "condition_source_concept_id", "condition_start_date")
         .withColumn("condition_status_concept_id", F.col("provider_id").cast("int"))
         .withColumn("condition_type_concept_id", F.col("condition_concept_id"))
     )
+    return write_target(altered, scratch_path(data.spark, "altered_conditions"))
 
 
 @query
@@ -830,13 +833,13 @@ def layer_summary(data: Data) -> DataFrame:
     return conformance.layer_summary(validate_table(data))
 
 
-def _all_stored(data: Data) -> dict[str, DataFrame]:
+def all_stored(data: Data) -> dict[str, DataFrame]:
     return {t: _stored(data, t) for t in BUILT}
 
 
 @query
 def validate_all(data: Data) -> DataFrame:
-    return conformance.validate_all(data.spark, _all_stored(data), data["concept"])
+    return conformance.validate_all(data.spark, all_stored(data), data["concept"])
 
 
 @query
@@ -846,7 +849,7 @@ def finding_counts(data: Data) -> DataFrame:
 
 @query
 def check_table_fk(data: Data) -> DataFrame:
-    return conformance.check_table_fk(_all_stored(data))
+    return conformance.check_table_fk(all_stored(data))
 
 
 @query
