@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdmloom.model.spec import Join
-from cdmloom.operators.spread import spread_join
+from cdmloom.operators.spread import BROADCAST_BYTES, attach, fits_broadcast
 
 # Accepted names of join types.
 JOIN_TYPES = {
@@ -32,12 +32,17 @@ def join_type(name: str) -> str:
 
 
 def join_sources(
-    frames: Mapping[str, DataFrame], joins: Sequence[Join] = (), fraction: float = 0.01
+    frames: Mapping[str, DataFrame],
+    joins: Sequence[Join] = (),
+    broadcast_bytes: int = BROADCAST_BYTES,
+    fraction: float = 0.01,
 ) -> DataFrame:
     """Left fold of the aliased sources along ``joins``.
 
-    A join given by ``keys`` spreads the hot keys of the side whose rows are all
-    kept; one given only by a SQL ``condition`` is left to Catalyst and AQE.
+    An inner or left join given by ``keys`` broadcasts the right side if it
+    measures small and otherwise spreads hot keys. Other joins, and those given
+    only by a SQL ``condition``, are left to Catalyst and AQE. A join without
+    any condition needs a right side small enough to send to every task.
     """
     for j in joins:
         for alias in (j.left, j.right):
@@ -56,11 +61,16 @@ def join_sources(
         extra = F.expr(j.condition) if j.condition else None
         if j.keys and how in ("inner", "left"):
             pairs = [(F.expr(a), F.expr(b)) for a, b in j.keys]
-            out = spread_join(out, right, pairs, how, extra, fraction)
+            out = attach(out, right, pairs, how, broadcast_bytes, extra, fraction, rows_first=True)
             continue
         on = extra
         for a, b in j.keys:
             equal = F.expr(a) == F.expr(b)
             on = equal if on is None else on & equal
-        out = out.crossJoin(right) if on is None else out.join(right, on, how)
+        if on is not None:
+            out = out.join(right, on, how)
+        elif how == "cross" and fits_broadcast(right, broadcast_bytes, rows_first=True):
+            out = out.crossJoin(F.broadcast(right))
+        else:
+            raise ValueError(f"join with {j.right!r} needs a condition or keys")
     return out

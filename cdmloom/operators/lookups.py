@@ -172,7 +172,9 @@ def apply_lookups(
             )
             mapping = one if mapping is None else mapping.join(one, code, "full")
         raw = F.col(f"`{alias}`.`{column}`").cast("string")
-        out = attach(out, mapping, [(raw, F.col(code))], "left", broadcast_bytes, fraction)
+        out = attach(
+            out, mapping, [(raw, F.col(code))], "left", broadcast_bytes, fraction=fraction
+        )
         out = out.drop(code)
     for i, x in enumerate(lookups):
         out = out.withColumn(x.target_column, F.coalesce(F.col(f"__target_{i}"), F.lit(x.fallback)))

@@ -30,16 +30,27 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _row_bytes(df: DataFrame) -> int:
+    return 16 + 8 * len(df.columns)
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Size of ``df`` in memory: one aggregate over its rows, text counted by length."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     lengths = [F.sum(F.octet_length(F.col(f"`{c}`"))) for c in text]
     seen = df.agg(F.count(F.lit(1)), *lengths).first()
-    return seen[0] * (16 + 8 * len(df.columns)) + sum(n or 0 for n in seen[1:])
+    return seen[0] * _row_bytes(df) + sum(n or 0 for n in seen[1:])
 
 
-def fits_broadcast(df: DataFrame, limit: int) -> bool:
-    return limit > 0 and measured_bytes(df) <= limit
+def fits_broadcast(df: DataFrame, limit: int, rows_first: bool = False) -> bool:
+    """Whether ``df`` measures at most ``limit`` bytes.
+
+    ``rows_first`` is for sides that may be huge: a row count, which a stored table
+    answers from its file footers, rules most of them out before any text is read.
+    """
+    if limit <= 0 or (rows_first and df.count() * _row_bytes(df) > limit):
+        return False
+    return measured_bytes(df) <= limit
 
 
 def _key_hash(keys: Sequence[Column]) -> Column:
@@ -95,16 +106,18 @@ def spread_join(
 
 def attach(
     facts: DataFrame,
-    mapping: DataFrame,
+    side: DataFrame,
     pairs: Sequence[tuple[Column, Column]],
     how: str = "left",
     broadcast_bytes: int = BROADCAST_BYTES,
+    extra: Column | None = None,
     fraction: float = 0.01,
+    rows_first: bool = False,
 ) -> DataFrame:
-    """Join a mapping to facts: broadcast when measured small, spread otherwise."""
-    if fits_broadcast(mapping, broadcast_bytes):
-        on = F.lit(True)
-        for lk, rk in pairs:
-            on = on & (lk == rk)
-        return facts.join(F.broadcast(mapping), on, how)
-    return spread_join(facts, mapping, pairs, how, fraction=fraction)
+    """Join ``side`` to facts: broadcast when measured small, spread otherwise."""
+    if not fits_broadcast(side, broadcast_bytes, rows_first):
+        return spread_join(facts, side, pairs, how, extra, fraction)
+    on = F.lit(True) if extra is None else extra
+    for lk, rk in pairs:
+        on = on & (lk == rk)
+    return facts.join(F.broadcast(side), on, how)

@@ -24,7 +24,7 @@ def project_table(
     fraction: float = 0.01,
 ) -> DataFrame:
     """Join, resolve and project; row expectations not applied yet."""
-    joined = join_sources(frames, spec.joins, fraction)
+    joined = join_sources(frames, spec.joins, broadcast_bytes, fraction)
     resolved = apply_lookups(joined, spec.vocabulary_lookups, vocab, broadcast_bytes, fraction)
     columns = spec.column_mappings
     if columns:

@@ -25,6 +25,16 @@ def read_sources(
     return out
 
 
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread a fact table over all cores when it arrives in far fewer splits.
+
+    A file that is one row group is one task, and every narrow step after it too.
+    Tables in enough splits, as large ones are, pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
 def write_target(df: DataFrame, path: str) -> DataFrame:
     """Replace the table at ``path`` with a full snapshot and read it back."""
     df.write.mode("overwrite").parquet(path)

@@ -9,7 +9,13 @@ from cdmloom.operators.durable import scratch_path
 from cdmloom.operators.joins import join_sources
 from cdmloom.operators.lookups import apply_lookups, write_crosswalk
 from cdmloom.operators.projection import append_lookup_targets, map_columns
-from cdmloom.operators.spread import attach, hot_keys, measured_bytes, spread_join
+from cdmloom.operators.spread import (
+    attach,
+    fits_broadcast,
+    hot_keys,
+    measured_bytes,
+    spread_join,
+)
 from tests.conftest import rows
 
 
@@ -138,12 +144,18 @@ def frames(spark):
 def test_join_types(frames, how, n, by_keys):
     given = {"keys": (("a.k", "b.k"),)} if by_keys else {"condition": "a.k = b.k"}
     join = Join("a", "b", type=how, **given)
-    assert join_sources({k: frames[k] for k in "ab"}, [join], 1.0).count() == n
+    both = {k: frames[k] for k in "ab"}
+    assert join_sources(both, [join]).count() == n
+    assert join_sources(both, [join], broadcast_bytes=0, fraction=1.0).count() == n
 
 
 def test_cross_and_theta_joins(frames):
     both = {k: frames[k] for k in "ab"}
     assert join_sources(both, [Join("a", "b", type="cross")]).count() == 9
+    with pytest.raises(ValueError):
+        join_sources(both, [Join("a", "b", type="cross")], broadcast_bytes=0)
+    with pytest.raises(ValueError):
+        join_sources(both, [Join("a", "b")])
     theta = join_sources(both, [Join("a", "b", "a.k < b.k")])
     assert rows(theta.selectExpr("a.k", "b.k")) == [(1, 3), (2, 3)]
 
@@ -211,3 +223,6 @@ def test_measured_bytes_counts_text(spark):
     small = spark.createDataFrame([("ab", 1)], "s STRING, n INT")
     assert measured_bytes(small) == 16 + 16 + 2
     assert measured_bytes(small.limit(0)) == 0
+    assert fits_broadcast(small, 34) and fits_broadcast(small, 34, rows_first=True)
+    assert not fits_broadcast(small, 33) and not fits_broadcast(small, 31, rows_first=True)
+    assert not fits_broadcast(small, 0)

@@ -16,9 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from cdmloom.model.vocabulary import Vocabulary
 from cdmloom.operators.durable import scratch_path
 from cdmloom.operators.spread import configure
+from cdmloom.sources.tables import balanced
 from cdmloom.sources.vocabulary_files import store_vocabulary
 
-BASE_TABLES = ("nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+# Bronze tables large enough to be spread over all cores before a table is built from them.
+FACTS = ("encounter_diagnosis", "procedure_order", "medication_order")
 
 
 @dataclass(frozen=True)
@@ -402,6 +404,9 @@ class Data:
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def fact(self, name: str) -> DataFrame:
+        return balanced(self[name])
+
     def stored(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """What ``make`` gives, written out once per session and folder."""
         at = (self.spark.sparkContext.applicationId, self.sf_dir, name)

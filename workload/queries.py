@@ -33,7 +33,7 @@ from cdmloom.plans import tables
 from cdmloom.plans.build import build_table, project_table
 from cdmloom.sources import concept_map, vocabulary_files
 from cdmloom.sources.tables import read_sources, write_target
-from workload.fixtures import Data
+from workload.fixtures import FACTS, Data
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -254,7 +254,7 @@ def join_sources_query(data: Data) -> DataFrame:
         ),
         Join("e", "p", "e.patient_id = p.patient_id", "left"),
     ]
-    return join_sources(frames, joins, fraction=1.0).selectExpr(
+    return join_sources(frames, joins, broadcast_bytes=0, fraction=1.0).selectExpr(
         "m.measurement_id", "e.encounter_id", "p.patient_id", "p.race_code"
     )
 
@@ -671,7 +671,7 @@ def _build(data: Data, table: str, style: tables.Style = STYLE) -> DataFrame:
     if table == "location":
         frames = {"loc": tables.distinct_locations(data["patient"])}
     else:
-        frames = {alias: data[name] for alias, name in BRONZE[table].items()}
+        frames = {a: data.fact(n) if n in FACTS else data[n] for a, n in BRONZE[table].items()}
     return build_table(tables.RECIPES[table](style), frames, data.vocab)
 
 
@@ -706,7 +706,7 @@ def build_dose_era(data: Data) -> DataFrame:
         (*spec.vocabulary_lookups, unit),
         expectations=spec.expectations,
     )
-    frames = {"mo": data["medication_order"], "enc": data["encounter"]}
+    frames = {"mo": data.fact("medication_order"), "enc": data["encounter"]}
     return eras.dose_era(build_table(dosed, frames, data.vocab), key=_dose_key)
 
 
@@ -784,7 +784,7 @@ def _faulty_conditions(data: Data) -> DataFrame:
 def _make_faulty_conditions(data: Data) -> DataFrame:
     rows = build_table(
         tables.condition_occurrence(KEEP_ORPHANS),
-        {"dx": data["encounter_diagnosis"], "enc": data["encounter"]},
+        {"dx": data.fact("encounter_diagnosis"), "enc": data["encounter"]},
         data.vocab,
     )
     altered = (
