@@ -377,41 +377,57 @@ def anti_concept_fk(
 
 
 def check_table_fk(
-    tables: Mapping[str, DataFrame], spec: Mapping[str, Sequence[Column]] = CDM
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    spec: Mapping[str, Sequence[Column]] = CDM,
 ) -> DataFrame:
     """Rows whose reference to another target table dangles, per reference.
 
-    Each reference is counted per distinct id before it meets the parent table.
+    One scan per table counts all its references per distinct id; the counts of
+    all tables then meet the keys of all parents in a single join.
     """
-    out = None
-    for table in sorted(tables):
-        found = _names(tables[table])
-        for c in spec[table]:
-            parent = (c.fk or "concept.").split(".")[0]
-            if parent == "concept" or parent not in tables or c.name.lower() not in found:
-                continue
-            key = c.fk.split(".")[1]
-            used = (
-                tables[table]
-                .filter(F.col(c.name).isNotNull())
-                .groupBy(F.col(c.name).cast("bigint").alias("id"))
+    checks: list[tuple] = []
+    usages: list[DataFrame] = []
+    parents: dict[str, str] = {}
+    for table, df in sorted(tables.items()):
+        cells = []
+        for c in _split(_names(df), spec[table])[0]:
+            parent, _, key = (c.fk or "concept.").partition(".")
+            if parent in tables:
+                parents[parent] = key
+                checks.append((table, c.name, parent))
+                cells.append(
+                    {
+                        "column_name": _text(c.name),
+                        "parent": _text(parent),
+                        "id": f"cast(`{c.name}` as bigint)",
+                    }
+                )
+        if cells:
+            usages.append(
+                df.selectExpr(_cells(cells))
+                .filter("id is not null")
+                .groupBy("column_name", "parent", "id")
                 .agg(F.count(F.lit(1)).alias("n"))
+                .withColumn("table_name", F.lit(table))
             )
-            lost = used.join(
-                tables[parent].select(F.col(key).cast("bigint").alias("id")), "id", "left_anti"
-            )
-            one = lost.agg(
-                F.count(F.lit(1)).alias("dangling_ids"),
-                F.coalesce(F.sum("n"), F.lit(0)).alias("dangling_rows"),
-            ).select(
-                F.lit(table).alias("table_name"),
-                F.lit(c.name).alias("column_name"),
-                F.lit(parent).alias("parent"),
-                "dangling_ids",
-                "dangling_rows",
-            )
-            out = one if out is None else out.unionByName(one)
-    return out
+    wanted = spark.createDataFrame(checks, "table_name STRING, column_name STRING, parent STRING")
+    none = {"dangling_ids": 0, "dangling_rows": 0}
+    if not usages:
+        return wanted.withColumns({c: F.lit(n).cast("bigint") for c, n in none.items()})
+    keys = _union(
+        [
+            tables[p].selectExpr(f"{_text(p)} as parent", f"cast(`{k}` as bigint) as id").distinct()
+            for p, k in parents.items()
+        ]
+    )
+    lost = (
+        _union(usages)
+        .join(keys, ["parent", "id"], "left_anti")
+        .groupBy("table_name", "column_name", "parent")
+        .agg(F.count(F.lit(1)).alias("dangling_ids"), F.sum("n").alias("dangling_rows"))
+    )
+    return wanted.join(lost, ["table_name", "column_name", "parent"], "left").na.fill(none)
 
 
 def standard_rate(df: DataFrame, columns: Sequence[str], concept: DataFrame) -> DataFrame:

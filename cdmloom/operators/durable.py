@@ -15,16 +15,14 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only a local session without that setting gets a folder of its own.
     """
-    named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(
-        CHECKPOINT_CONF, None
-    )
+    sc = spark.sparkContext
+    named = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="cdmloom-")
-    spark.conf.set(CHECKPOINT_CONF, folder)
-    return folder
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="cdmloom-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -44,10 +44,9 @@ def join_sources(
     only by a SQL ``condition``, are left to Catalyst and AQE. A join without
     any condition needs a right side small enough to send to every task.
     """
-    for j in joins:
-        for alias in (j.left, j.right):
-            if alias not in frames:
-                raise KeyError(f"join references unknown alias {alias!r}")
+    for alias in [j.left for j in joins[:1]] + [j.right for j in joins]:
+        if alias not in frames:
+            raise KeyError(f"join references unknown alias {alias!r}")
     if not joins:
         if len(frames) != 1:
             raise ValueError("without joins exactly one source is required")

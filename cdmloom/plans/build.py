@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from cdmloom.model.cdm import CDM
 from cdmloom.model.spec import ColumnMap, TableSpec
@@ -14,6 +14,7 @@ from cdmloom.operators.joins import join_sources
 from cdmloom.operators.lookups import apply_lookups
 from cdmloom.operators.projection import append_lookup_targets, map_columns
 from cdmloom.operators.spread import BROADCAST_BYTES
+from cdmloom.sources.tables import read_sources, write_target
 
 
 def project_table(
@@ -44,6 +45,17 @@ def build_table(
     return apply_expectations(rows, spec.expectations)
 
 
+def refresh_table(
+    spark: SparkSession,
+    spec: TableSpec,
+    vocab: Vocabulary,
+    path: str,
+    names: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Read the sources of a spec, build its table and replace the snapshot at ``path``."""
+    return write_target(build_table(spec, read_sources(spark, spec.sources, names), vocab), path)
+
+
 def null_columns(table: str, given: set[str]) -> tuple[ColumnMap, ...]:
     """Typed NULLs for the columns of a target table a recipe has no source for."""
     return tuple(

@@ -54,6 +54,11 @@ def _kept(expr: str) -> str:
     return f"substring(cast({expr} as string), 1, {SOURCE_VALUE_CHARS})"
 
 
+def _reference(style: Style, expr: str) -> str:
+    """Key of another table's row, NULL where the source names none."""
+    return f"if({expr} is null, null, {style.key(expr)})"
+
+
 def _provenance() -> str:
     return f"cast({EHR_RECORD} as int)"
 
@@ -128,7 +133,7 @@ def person(style: Style = Style()) -> TableSpec:
             month_of_birth="month(pat.birth_date)",
             day_of_birth="day(pat.birth_date)",
             birth_datetime="cast(pat.birth_date as timestamp)",
-            location_id=style.key("pat.zip_code"),
+            location_id=_reference(style, "pat.zip_code"),
             person_source_value=_kept("id.mrn"),
             gender_source_value=_kept("pat.gender_code"),
             race_source_value=_kept("pat.race_code"),
@@ -359,7 +364,7 @@ def care_site(style: Style = Style()) -> TableSpec:
         _columns(
             care_site_id="cast(fac.facility_id as bigint)",
             care_site_name="cast(fac.facility_name as string)",
-            location_id=style.key("fac.zip_code"),
+            location_id=_reference(style, "fac.zip_code"),
             care_site_source_value=_kept("fac.facility_id"),
             place_of_service_source_value=_kept("fac.service_code"),
         ),

@@ -111,8 +111,15 @@ def test_rows_with_unknown_concepts(death, vocab, limit):
 
 def test_references_between_tables(spark, death):
     person = spark.createDataFrame([(1,)], "person_id BIGINT")
-    got = rows(conformance.check_table_fk({"death": death, "person": person}))
+    got = rows(conformance.check_table_fk(spark, {"death": death, "person": person}))
     assert got == [("death", "person_id", "person", 1, 1)]
+    people = spark.createDataFrame([(1, 5), (2, None)], "person_id BIGINT, provider_id BIGINT")
+    doctors = spark.createDataFrame([(5, None)], "provider_id BIGINT, care_site_id BIGINT")
+    tables = {"death": death, "person": people, "provider": doctors}
+    assert rows(conformance.check_table_fk(spark, tables)) == [
+        ("death", "person_id", "person", 0, 0), ("person", "provider_id", "provider", 0, 0),
+    ]
+    assert conformance.check_table_fk(spark, {"person": people}).count() == 0
 
 
 def test_standard_rate(death, vocab):

@@ -30,7 +30,7 @@ from cdmloom.operators.joins import join_sources
 from cdmloom.operators.lookups import apply_lookups, write_crosswalk
 from cdmloom.operators.projection import append_lookup_targets, map_columns
 from cdmloom.plans import tables
-from cdmloom.plans.build import build_table, project_table
+from cdmloom.plans.build import build_table, project_table, refresh_table
 from cdmloom.sources import concept_map, vocabulary_files
 from cdmloom.sources.tables import read_sources, write_target
 from workload.fixtures import FACTS, Data
@@ -717,10 +717,10 @@ def _dose_key(*parts: str) -> str:
 
 @query
 def build_table_query(data: Data) -> DataFrame:
-    """A table from a spec written for one site: local formulary codes to drug exposures."""
+    """From stored source to stored target by a spec: local formulary codes to drug exposures."""
     spec = TableSpec(
         "drug_exposure",
-        (Source("f", "formulary"),),
+        (Source("f", "{folder}/formulary"),),
         (
             ColumnMap("drug_exposure_id", md5_key("f.item_id", "drug_concept_id")),
             ColumnMap("drug_source_value", "f.brand_code"),
@@ -736,7 +736,9 @@ def build_table_query(data: Data) -> DataFrame:
             drop=(Rule("known_drug", "drug_concept_id != 0"),),
         ),
     )
-    return build_table(spec, {"f": data["formulary"]}, data.vocab)
+    folder = scratch_path(data.spark, "bronze")
+    write_target(data["formulary"], f"{folder}/formulary")
+    return refresh_table(data.spark, spec, data.vocab, f"{folder}/drug_exposure", {"folder": folder})
 
 
 
@@ -849,7 +851,7 @@ def finding_counts(data: Data) -> DataFrame:
 
 @query
 def check_table_fk(data: Data) -> DataFrame:
-    return conformance.check_table_fk(all_stored(data))
+    return conformance.check_table_fk(data.spark, all_stored(data))
 
 
 @query
