@@ -21,6 +21,7 @@ HEADLINE = (
     "lookup_mapped_spread",
     "lookup_mapped_crosswalk",
     "lookup_chain",
+    "distinct_codes",
     "draft_concept_map",
     "coverage_by_column",
     "vocabulary_diff",

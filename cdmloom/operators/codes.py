@@ -107,18 +107,25 @@ def lookup_concept_by_code(codes: DataFrame, concept: DataFrame) -> DataFrame:
     )
 
 
-def lookup_maps_to(sources: DataFrame, edges: DataFrame, concept: DataFrame) -> DataFrame:
-    """Targets of "Maps to" for the distinct ``concept_id`` of ``sources``, standard or not."""
-    start = sources.select("concept_id").distinct()
-    hops = valid_edges(edges).select(
+def maps_to(edges: DataFrame) -> DataFrame:
+    """Valid "Maps to" edges as (concept_id, target_concept_id)."""
+    return valid_edges(edges).select(
         F.col("concept_id_1").alias("concept_id"), F.col("concept_id_2").alias("target_concept_id")
     )
-    goal = concept.select(
+
+
+def targets(concept: DataFrame) -> DataFrame:
+    return concept.select(
         F.col("concept_id").alias("target_concept_id"),
         F.col("vocabulary_id").alias("target_vocabulary_id"),
         F.col("standard_concept").alias("target_standard_concept"),
     )
-    return start.join(hops, "concept_id").join(goal, "target_concept_id")
+
+
+def lookup_maps_to(sources: DataFrame, edges: DataFrame, concept: DataFrame) -> DataFrame:
+    """Targets of "Maps to" for the distinct ``concept_id`` of ``sources``, standard or not."""
+    start = sources.select("concept_id").distinct()
+    return start.join(maps_to(edges), "concept_id").join(targets(concept), "target_concept_id")
 
 
 def code_exists(codes: DataFrame, concept: DataFrame, vocabulary_id: str) -> DataFrame:

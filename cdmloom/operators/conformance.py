@@ -239,7 +239,7 @@ def findings(
             present, _ = _split(found, concepts)
             if present:
                 usages.append(concept_usage(table, df, present))
-        if 5 in layers and not found:
+        if 5 in layers and not _split(found, columns)[0]:
             told.append((table, 5, "SKIP", "not_null", MSG_TABLE_SKIP))
         elif 5 in layers:
             present, absent = _split(found, [c for c in columns if c.required])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdmloom.model.vocabulary import CONCEPT_MAP
-from cdmloom.operators.codes import lookup_concept_by_code, lookup_maps_to
+from cdmloom.operators.codes import lookup_concept_by_code, maps_to, targets
 
 # The five outcomes.
 DIRECT = "resolved_direct"
@@ -39,33 +39,36 @@ def classify_codes(codes: DataFrame, concept: DataFrame, edges: DataFrame) -> Da
     """Put every (vocabulary, code) into one of the five buckets.
 
     Targets that are missing from the concept table are ignored before counting.
+    The codes are read once: edges and targets are attached to their hits.
     """
     hits = lookup_concept_by_code(codes, concept)
     is_standard = F.coalesce(F.col("standard_concept") == "S", F.lit(False))
-    target_standard = F.col("target_standard_concept") == "S"
-    targets = (
-        lookup_maps_to(hits.filter(~is_standard), edges, concept)
-        .groupBy("concept_id")
+    known, standard = F.col("g.target_concept_id"), F.col("target_standard_concept") == "S"
+    start = F.when(~is_standard, F.col("h.concept_id"))
+    counted = (
+        hits.alias("h")
+        .join(maps_to(edges).alias("m"), start == F.col("m.concept_id"), "left")
+        .join(targets(concept).alias("g"), F.col("m.target_concept_id") == known, "left")
+        .groupBy(*[F.col(f"h.{c}") for c in hits.columns])
         .agg(
-            F.count(F.lit(1)).alias("targets"),
-            F.count_if(target_standard).alias("standard_targets"),
+            F.count(known).alias("targets"),
+            F.count_if(standard).alias("standard_targets"),
             F.min(
-                F.when(target_standard, F.struct("target_concept_id", "target_vocabulary_id"))
+                F.when(standard, F.struct(known.alias("id"), F.col("target_vocabulary_id")))
             ).alias("best"),
         )
     )
     bucket = (
         F.when(F.col("concept_id").isNull(), NO_CONCEPT)
         .when(is_standard, DIRECT)
-        .when(F.col("targets").isNull(), NO_MAPS_TO)
+        .when(F.col("targets") == 0, NO_MAPS_TO)
         .when(F.col("standard_targets") == 1, VIA_MAPS_TO)
         .otherwise(AMBIGUOUS)
     )
     via = F.col("bucket") == VIA_MAPS_TO
     direct = F.col("bucket") == DIRECT
     return (
-        hits.join(targets, "concept_id", "left")
-        .withColumn("bucket", bucket)
+        counted.withColumn("bucket", bucket)
         .select(
             "vocabulary_id",
             "source_code",
@@ -73,14 +76,14 @@ def classify_codes(codes: DataFrame, concept: DataFrame, edges: DataFrame) -> Da
             F.coalesce("concept_id", F.lit(0)).alias("source_concept_id"),
             F.col("concept_name").alias("source_name"),
             F.when(direct, F.col("concept_id"))
-            .when(via, F.col("best.target_concept_id"))
+            .when(via, F.col("best.id"))
             .otherwise(0)
             .alias("target_concept_id"),
             F.when(direct, F.col("concept_vocabulary_id"))
             .when(via, F.col("best.target_vocabulary_id"))
             .otherwise("")
             .alias("target_vocabulary_id"),
-            F.coalesce("standard_targets", F.lit(0)).cast("bigint").alias("standard_targets"),
+            "standard_targets",
         )
     )
 

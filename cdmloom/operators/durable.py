@@ -16,7 +16,7 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a folder of its own.
     """
     sc = spark.sparkContext
-    named = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
+    named = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not sc.master.startswith("local"):

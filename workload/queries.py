@@ -415,10 +415,19 @@ def _codes(data: Data) -> DataFrame:
     return codes.distinct_codes({r.source_table: data[r.source_table] for r in requests}, requests)
 
 
-def _classified(data: Data, after: bool = False) -> DataFrame:
+def _stored_codes(data: Data) -> DataFrame:
+    """The distinct codes written once, so that reports do not read the facts again."""
+    return data.stored(
+        "codes", lambda: write_target(_codes(data), scratch_path(data.spark, "codes"))
+    )
+
+
+def _classified(data: Data, after: bool = False, found: DataFrame | None = None) -> DataFrame:
     vocab = data.vocab_after if after else data.vocab
     return drafting.classify_codes(
-        codes.codes_by_vocabulary(_codes(data)), vocab.concept, vocab.concept_relationship
+        codes.codes_by_vocabulary(_stored_codes(data) if found is None else found),
+        vocab.concept,
+        vocab.concept_relationship,
     )
 
 
@@ -525,7 +534,8 @@ def classify_codes(data: Data) -> DataFrame:
 
 @query
 def draft_concept_map(data: Data) -> DataFrame:
-    return drafting.draft_concept_map(_classified(data))
+    """The whole way from the fact columns to the draft, in one plan."""
+    return drafting.draft_concept_map(_classified(data, found=_codes(data)))
 
 
 @query
@@ -542,7 +552,7 @@ def coverage_by_vocabulary(data: Data) -> DataFrame:
 
 @query
 def coverage_by_column(data: Data) -> DataFrame:
-    return coverage.coverage_by_column(_codes(data), _classified(data))
+    return coverage.coverage_by_column(_stored_codes(data), _classified(data))
 
 
 @query
