@@ -55,11 +55,19 @@ CONCEPT_MAP = layout(
 CONCEPT_MAP_KEY = ("source_code", "source_vocabulary_id")
 
 
+# The relationships table recipes look codes up by.
+CROSSWALK_RELATIONSHIPS = ("Maps to", "Maps to unit", "Maps to value")
+
+
 @dataclass(frozen=True)
 class Vocabulary:
-    """The reference tables a lookup reads; ``crosswalk`` is the optional prepared form."""
+    """The vocabulary tables a lookup reads; ``crosswalk`` is the optional prepared form.
+
+    Lookups over a relationship the crosswalk was not made for read the tables.
+    """
 
     concept: DataFrame
     concept_relationship: DataFrame | None = None
     source_to_concept_map: DataFrame | None = None
     crosswalk: DataFrame | None = None
+    crosswalk_relationships: tuple[str, ...] = CROSSWALK_RELATIONSHIPS

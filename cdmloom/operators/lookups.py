@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdmloom.model.spec import BY_CONCEPT, BY_MAP, Lookup
-from cdmloom.model.vocabulary import Vocabulary
+from cdmloom.model.vocabulary import CROSSWALK_RELATIONSHIPS, Vocabulary
 from cdmloom.operators.concepts import concepts_in, standard_concepts, valid_concepts, valid_edges
 from cdmloom.operators.spread import BROADCAST_BYTES, attach
 
@@ -77,7 +77,8 @@ def relationship_targets(
 
 
 def _relationship_targets(vocab: Vocabulary, lookup: Lookup) -> DataFrame:
-    if vocab.crosswalk is not None and lookup.source_invalid_reason is None:
+    stored = vocab.crosswalk is not None and lookup.source_invalid_reason is None
+    if stored and lookup.relationship_id in vocab.crosswalk_relationships:
         rows = vocab.crosswalk.filter(
             (F.col("vocabulary_id") == lookup.vocabulary)
             & (F.col("relationship_id") == lookup.relationship_id)
@@ -105,8 +106,10 @@ def lookup_targets(vocab: Vocabulary, lookup: Lookup) -> DataFrame:
     return _relationship_targets(vocab, lookup)
 
 
-def crosswalk(vocab: Vocabulary) -> DataFrame:
-    """All one-hop mappings of valid concepts, for every relationship.
+def crosswalk(
+    vocab: Vocabulary, relationship_ids: Sequence[str] = CROSSWALK_RELATIONSHIPS
+) -> DataFrame:
+    """All one-hop mappings of valid concepts over the given relationships.
 
     Build it once per vocabulary load and write it with
     :func:`write_crosswalk`; lookups then read one pruned partition instead of
@@ -117,9 +120,9 @@ def crosswalk(vocab: Vocabulary) -> DataFrame:
         F.col("concept_code").alias("code"),
         F.col("concept_id").alias("concept_id_1"),
     )
-    hops = vocab.concept_relationship.filter(F.col("invalid_reason").isNull()).select(
-        "concept_id_1", "concept_id_2", "relationship_id"
-    )
+    hops = vocab.concept_relationship.filter(
+        F.col("relationship_id").isin(*relationship_ids) & F.col("invalid_reason").isNull()
+    ).select("concept_id_1", "concept_id_2", "relationship_id")
     goal = valid_concepts(vocab.concept).select(
         F.col("concept_id").alias("concept_id_2"),
         "domain_id",
@@ -139,12 +142,23 @@ def crosswalk(vocab: Vocabulary) -> DataFrame:
     )
 
 
-def write_crosswalk(vocab: Vocabulary, path: str) -> DataFrame:
-    spark = vocab.concept.sparkSession
-    crosswalk(vocab).write.mode("overwrite").partitionBy("relationship_id", "vocabulary_id").parquet(
-        path
+def write_crosswalk(
+    vocab: Vocabulary, path: str, relationship_ids: Sequence[str] = CROSSWALK_RELATIONSHIPS
+) -> DataFrame:
+    """The crosswalk stored by relationship and vocabulary.
+
+    Ranges that include the code keep the number of files small and split a large vocabulary.
+    """
+    by = ("relationship_id", "vocabulary_id")
+    (
+        crosswalk(vocab, relationship_ids)
+        .repartitionByRange(*by, "code")
+        .sortWithinPartitions(*by, "code")
+        .write.mode("overwrite")
+        .partitionBy(*by)
+        .parquet(path)
     )
-    return spark.read.parquet(path)
+    return vocab.concept.sparkSession.read.parquet(path)
 
 
 def apply_lookups(

@@ -107,6 +107,14 @@ def test_crosswalk_gives_the_same(spark, facts, vocab):
     plain = apply_lookups(facts.alias("f"), [MAPPED], vocab)
     quick = apply_lookups(facts.alias("f"), [MAPPED], Vocabulary(vocab.concept, crosswalk=prepared))
     assert ids(plain, "std") == ids(quick, "std")
+    # A relationship the crosswalk does not hold is read from the tables.
+    both = Vocabulary(vocab.concept, vocab.concept_relationship, crosswalk=prepared.limit(0))
+    other = Lookup(
+        "f", "code", "std", BY_RELATIONSHIP, vocabulary_id="LOC", domain_id="Observation",
+        relationship_id="Is a",
+    )
+    assert (1, 103) in ids(apply_lookups(facts.alias("f"), [other], both), "std")
+    assert {r[1] for r in ids(apply_lookups(facts.alias("f"), [MAPPED], both), "std")} == {0}
 
 
 def test_projection_appends_targets_in_lookup_order(facts, vocab):
