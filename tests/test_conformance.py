@@ -76,6 +76,14 @@ def test_unbuilt_table(spark, vocab):
     assert {s for (layer, _), (s, _) in got.items() if layer > 1} == {"SKIP"}
 
 
+def test_table_of_other_columns_only(spark, vocab):
+    odd = spark.createDataFrame([(1,)], "nothing_we_know INT")
+    got = found(conformance.validate_table(spark, "death", odd, vocab.concept))
+    assert got[5, "not_null"] == ("SKIP", conformance.MSG_TABLE_SKIP)
+    assert got[1, "schema:extra:nothing_we_know"][0] == "WARN"
+    assert (1, "schema:table_missing") not in got
+
+
 def test_validate_all_covers_the_spec_in_order(spark, death, vocab):
     out = conformance.validate_all(spark, {"death": death}, vocab.concept)
     order = [(r["table_name"], r["layer"], r["check"]) for r in out.collect()]
