@@ -38,12 +38,18 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 #: Coordinates of a signature.
 TOKENS = 64
-LEAF = 128
+LEAF = 256
 DEPTH = 5
 #: Chance that a node samples a second coordinate, in per cent.
 SECOND = 25
 #: A node whose members share this share of their tokens on average is compared, not split.
 ALIKE = 0.4
+#: Members that are looked at to judge that.
+PROBES = 8
+#: Members of large nodes that are broadcast to their signatures, at most; more are joined by a shuffle.
+BROADCAST_MEMBERS = 400_000
+#: Runs are begun for trees of this depth; more follow if the trees get deeper.
+EXPECTED_DEPTH = 3
 #: Members of a block of a large leaf.
 BLOCK = 512
 #: Sketches that agree in a share of bytes this much below the threshold are still compared exactly: five deviations.
@@ -151,23 +157,37 @@ def _children(members: DataFrame) -> tuple[DataFrame, DataFrame]:
     return both.where(F.col("size") <= LEAF), both.where(F.col("size") > LEAF)
 
 
+def _with_signature(members: DataFrame, reps: DataFrame) -> DataFrame:
+    """Members of large nodes with their signatures; few members go to the signatures, not the other way."""
+    members = F.broadcast(members) if members.count() <= BROADCAST_MEMBERS else members
+    return reps.select("key", "signature").join(members, "key")
+
+
+def _likeness(signatures: list[Column]) -> Column:
+    """The share of tokens that two of the signatures have in common, on average."""
+    places = F.sequence(F.lit(0), F.lit(TOKENS - 1))
+    same = lambda x, y: F.size(F.filter(places, lambda i: F.substring(x, i * 4 + 1, F.lit(4)) == F.substring(y, i * 4 + 1, F.lit(4))))
+    pairs = [(x, y) for n, x in enumerate(signatures) for y in signatures[:n]]
+    return sum((same(x, y) for x, y in pairs), F.lit(0)) / float(TOKENS * len(pairs))
+
+
 def _split(members: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members of large nodes: those of nodes that are alike as they are, the others by child."""
-    full = members.join(reps.select("key", "signature"), "key")
-    # How often two members of a node share a token, over eight coordinates.
-    probes = F.array(*[F.pmod(F.xxhash64("node", F.lit(SEED + 10 + i)), F.lit(TOKENS)).cast("int") for i in range(8)])
-    counts = full.select("node", "size", F.posexplode(probes).alias("probe", "at"), "signature").groupBy("node", "size", "probe", _token(F.col("at")).alias("token")).count()
-    share = F.sum(F.col("count").cast("double") * F.col("count")) / (8.0 * F.col("size") * F.col("size"))
-    nodes = stored(counts.groupBy("node", "size").agg(share.alias("share")).select("node", (F.col("share") >= ALIKE).alias("alike")), "alike")
+    """Members of large nodes: those of nodes that are alike as they are, the others by child.
+
+    How alike a node is, is judged by a few members; this steers the work and loses no pair.
+    """
+    full = _with_signature(members, reps)
+    some = full.groupBy("node").agg(*[F.min_by("signature", F.xxhash64("key", F.lit(SEED + i))).alias(f"s{i}") for i in range(PROBES)])
+    nodes = stored(some.select("node", (_likeness([F.col(f"s{i}") for i in range(PROBES)]) >= ALIKE).alias("alike")), "alike")
     judged = full.join(nodes, "node")
     child = _node(F.shiftrightunsigned("node", RUN_BITS), F.col("node"), F.col("at"), _token(F.col("at")))
     below = judged.where(~F.col("alike")).withColumn("at", F.explode(_sampled(F.col("node")))).select(child.alias("node"), "key")
-    return judged.where("alike").select("node", "key", "size"), below
+    return members.join(nodes.where("alike"), "node").select("node", "key", "size"), below
 
 
 def leaves(reps: DataFrame, recall: float = RECALL, threshold: float = THRESHOLD) -> DataFrame:
     """(node, key, size) of every leaf with two members or more. Stored piece by piece."""
-    done, first, deepest = [], 0, 1
+    done, first, deepest = [], 0, EXPECTED_DEPTH
     while first < (last := runs_needed(deepest, recall, threshold)):
         roots = []
         for r in range(first, last):
