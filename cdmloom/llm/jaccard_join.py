@@ -2,7 +2,7 @@
 
 A document's set has the hashes of its runs of ``SHINGLE`` words (a shorter text has one, of all its words).
 Equal sets become one representative with a count, so copies are never compared. Representatives are
-split recursively: a node of the tree samples coordinates of the min-hash signature, and members that share
+split recursively: a node of the tree samples a coordinate of the min-hash signature, and members that share
 the token there go to the same child. A child of ``LEAF`` members or fewer is a leaf. A larger one is a leaf
 too if its members are alike on average, which more splitting would not part, or at ``DEPTH``; else it splits
 again. Leaves are compared by brute force, large ones in pairs of blocks. Runs with fresh samples repeat until
@@ -40,8 +40,6 @@ RECALL = 0.9999
 TOKENS = 64
 LEAF = 256
 DEPTH = 5
-#: Chance that a node samples a second coordinate, in per cent.
-SECOND = 25
 #: A node whose members share this share of their tokens on average is compared, not split.
 ALIKE = 0.4
 #: Members that are looked at to judge that.
@@ -130,8 +128,7 @@ def signed(docs: DataFrame, id: str, text: str, n: int) -> DataFrame:
 
 def runs_needed(depth: int, recall: float = RECALL, threshold: float = THRESHOLD) -> int:
     """Runs after which a pair at the threshold, split ``depth`` times, shares a leaf with probability ``recall``."""
-    together = 1 - (1 - threshold) * (1 - threshold * SECOND / 100)
-    return min(100, max(1, math.ceil(math.log(1 - recall) / math.log(1 - together**depth))))
+    return min(TOKENS, max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold**depth))))
 
 
 def _token(at: Column) -> Column:
@@ -144,10 +141,8 @@ def _node(run: Column, *path: Column) -> Column:
 
 
 def _sampled(node: Column) -> Column:
-    """The coordinates of a node: one, and sometimes a second."""
-    draw = lambda i: F.pmod(F.xxhash64(node, F.lit(SEED + i)), F.lit(TOKENS)).cast("int")
-    second = F.pmod(F.xxhash64(node, F.lit(SEED + 3)), F.lit(100)) < SECOND
-    return F.when(second, F.array_distinct(F.array(draw(1), draw(2)))).otherwise(F.array(draw(1)))
+    """The coordinate that a node samples."""
+    return F.pmod(F.xxhash64(node, F.lit(SEED)), F.lit(TOKENS)).cast("int")
 
 
 def _children(members: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -181,7 +176,7 @@ def _split(members: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = stored(some.select("node", (_likeness([F.col(f"s{i}") for i in range(PROBES)]) >= ALIKE).alias("alike")), "alike")
     judged = full.join(nodes, "node")
     child = _node(F.shiftrightunsigned("node", RUN_BITS), F.col("node"), F.col("at"), _token(F.col("at")))
-    below = judged.where(~F.col("alike")).withColumn("at", F.explode(_sampled(F.col("node")))).select(child.alias("node"), "key")
+    below = judged.where(~F.col("alike")).withColumn("at", _sampled(F.col("node"))).select(child.alias("node"), "key")
     return members.join(nodes.where("alike"), "node").select("node", "key", "size"), below
 
 
@@ -189,10 +184,7 @@ def leaves(reps: DataFrame, recall: float = RECALL, threshold: float = THRESHOLD
     """(node, key, size) of every leaf with two members or more. Stored piece by piece."""
     done, first, deepest = [], 0, EXPECTED_DEPTH
     while first < (last := runs_needed(deepest, recall, threshold)):
-        roots = []
-        for r in range(first, last):
-            chosen = {_ROOTS[r % TOKENS]} | ({_ROOTS[(r * 7 + 31) % TOKENS]} if r % (100 // SECOND) == 0 else set())
-            roots += [F.struct(F.lit(r).alias("run"), F.lit(c).alias("at")) for c in sorted(chosen)]
+        roots = [F.struct(F.lit(r).alias("run"), F.lit(_ROOTS[r]).alias("at")) for r in range(first, last)]
         top = reps.select("key", "signature", F.explode(F.array(*roots)).alias("root"))
         members = top.select(_node(F.col("root.run"), F.col("root.run"), F.col("root.at"), _token(F.col("root.at"))).alias("node"), "key")
         for depth in range(1, DEPTH + 1):
