@@ -171,12 +171,13 @@ def _split(members: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     How alike a node is, is judged by a few members; this steers the work and loses no pair.
     """
-    full = _with_signature(members, reps)
+    full = stored(_with_signature(members, reps), "large")
     some = full.groupBy("node").agg(*[F.min_by("signature", F.xxhash64("key", F.lit(SEED + i))).alias(f"s{i}") for i in range(PROBES)])
     nodes = stored(some.select("node", (_likeness([F.col(f"s{i}") for i in range(PROBES)]) >= ALIKE).alias("alike")), "alike")
     judged = full.join(nodes, "node")
     child = _node(F.shiftrightunsigned("node", RUN_BITS), F.col("node"), F.col("at"), _token(F.col("at")))
     below = judged.where(~F.col("alike")).withColumn("at", _sampled(F.col("node"))).select(child.alias("node"), "key")
+    below = stored(below, "below")
     return members.join(nodes.where("alike"), "node").select("node", "key", "size"), below
 
 
