@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 # Concept for rows recorded by an EHR, and the unknown concept.
 EHR_RECORD = 32817
 UNKNOWN = 0
-# Fixed value: width of the *_source_value columns.
-SOURCE_VALUE_CHARS = 50
 
 
 def case_map(code: Column, targets: Mapping[str, int], otherwise: int = UNKNOWN) -> Column:
@@ -49,7 +47,8 @@ def blank_to_null(text: Column) -> Column:
 
 
 def source_value(code: Column) -> Column:
-    return F.substring(code.cast("string"), 1, SOURCE_VALUE_CHARS)
+    """The whole code as text; ``long_source_values`` of the profiling operators counts what is over-long."""
+    return code.cast("string")
 
 
 def literal_concept(concept_id: int) -> Column:

@@ -152,19 +152,17 @@ def format_mismatch(classified: DataFrame, concept: DataFrame) -> DataFrame:
 
 
 def fanout_by_domain(
-    facts: DataFrame, column: str, vocab: Vocabulary, vocabulary_id: str, domains: list[str]
+    facts: DataFrame, column: str, vocab: Vocabulary, vocabulary_id: str
 ) -> DataFrame:
-    """Number of standard targets per source code and domain."""
+    """Number of standard targets per source code and domain, one row for each pair that occurs."""
     targets = relationship_targets(vocab, vocabulary_id).select(
         F.col("code").alias("source_code"), "domain_id"
     )
     return (
         code_values(facts, column)
         .join(targets, "source_code")
-        .groupBy("source_code")
-        .pivot("domain_id", domains)
-        .count()
-        .na.fill(0)
+        .groupBy("source_code", "domain_id")
+        .agg(F.count(F.lit(1)).alias("targets"))
     )
 
 
@@ -184,14 +182,3 @@ def dropped_by_domain(
     return lost.join(code_frequency(facts, column), "code").select(
         "code", "elsewhere", F.col("n").alias("rows_lost")
     )
-
-
-def replacement_targets(vocab: Vocabulary, vocabulary_id: str, domain_id: str) -> DataFrame:
-    """(code, target) for upgraded concepts that name a valid standard replacement."""
-    return lookup_targets(
-        vocab,
-        Lookup(
-            "", "", "replacement", BY_RELATIONSHIP, vocabulary_id=vocabulary_id,
-            domain_id=domain_id, relationship_id="Concept replaced by", source_invalid_reason="U",
-        ),
-    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cdmloom.model.spec import Rule, Rules
@@ -88,5 +88,21 @@ def observe_rules(df: DataFrame, rules: Rules, observation: Observation) -> Data
     """
     counts = _counts(rules)
     return df.observe(
-        observation, *[failed.alias(f"{action}:{r.name}") for action, r, _, failed in counts]
+        observation,
+        F.count(F.lit(1)).alias("rows"),
+        *[checked.alias(f"checked_{i}") for i, (_, _, checked, _) in enumerate(counts)],
+        *[failed.alias(f"failed_{i}") for i, (_, _, _, failed) in enumerate(counts)],
     )
+
+
+METRICS = "action STRING, rule STRING, checked LONG, passed LONG, failed LONG"
+
+
+def observed_metrics(spark: SparkSession, rules: Rules, observation: Observation) -> DataFrame:
+    """What :func:`observe_rules` counted, in the shape of :func:`expectation_metrics`."""
+    got = observation.get
+    rows = []
+    for i, (action, r, _, _) in enumerate(_counts(rules)):
+        checked, failed = got[f"checked_{i}"], got[f"failed_{i}"]
+        rows.append((action, r.name, checked, checked - failed, failed))
+    return spark.createDataFrame(rows, METRICS)

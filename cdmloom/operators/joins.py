@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdmloom.model.spec import Join
-from cdmloom.operators.spread import BROADCAST_BYTES, attach, fits_broadcast
+from cdmloom.operators.spread import BROADCAST_BYTES, attach
 
 # Accepted names of join types.
 JOIN_TYPES = {
@@ -41,8 +41,8 @@ def join_sources(
 
     An inner or left join given by ``keys`` broadcasts the right side if it
     measures small and otherwise spreads hot keys. Other joins, and those given
-    only by a SQL ``condition``, are left to Catalyst and AQE. A join without
-    any condition needs a right side small enough to send to every task.
+    only by a SQL ``condition``, are left to Catalyst and AQE. Only the type ``cross``
+    may come without any condition, whatever the sizes: naming it is the opt-in.
     """
     for alias in [j.left for j in joins[:1]] + [j.right for j in joins]:
         if alias not in frames:
@@ -68,8 +68,8 @@ def join_sources(
             on = equal if on is None else on & equal
         if on is not None:
             out = out.join(right, on, how)
-        elif how == "cross" and fits_broadcast(right, broadcast_bytes, rows_first=True):
-            out = out.crossJoin(F.broadcast(right))
+        elif how == "cross":
+            out = out.crossJoin(right)
         else:
             raise ValueError(f"join with {j.right!r} needs a condition or keys")
     return out

@@ -16,6 +16,7 @@ from cdmloom.model.spec import BY_CONCEPT, BY_MAP, Lookup
 from cdmloom.model.vocabulary import CROSSWALK_RELATIONSHIPS, Vocabulary
 from cdmloom.operators.concepts import concepts_in, standard_concepts, valid_concepts, valid_edges
 from cdmloom.operators.spread import BROADCAST_BYTES, attach
+from cdmloom.sources.tables import write_version
 
 
 def _map_targets(vocab: Vocabulary, lookup: Lookup) -> DataFrame:
@@ -150,15 +151,8 @@ def write_crosswalk(
     Ranges that include the code keep the number of files small and split a large vocabulary.
     """
     by = ("relationship_id", "vocabulary_id")
-    (
-        crosswalk(vocab, relationship_ids)
-        .repartitionByRange(*by, "code")
-        .sortWithinPartitions(*by, "code")
-        .write.mode("overwrite")
-        .partitionBy(*by)
-        .parquet(path)
-    )
-    return vocab.concept.sparkSession.read.parquet(path)
+    rows = crosswalk(vocab, relationship_ids).repartitionByRange(*by, "code").sortWithinPartitions(*by, "code")
+    return write_version(vocab.concept.sparkSession, path, rows.write.partitionBy(*by).parquet)
 
 
 def apply_lookups(

@@ -152,3 +152,17 @@ def join_fanout_check(
             F.sum(F.col("left_rows") * F.greatest(partners, F.lit(1))).alias("joined_rows"),
         )
     )
+
+
+# Fixed value: width that the standard gives the *_source_value columns.
+SOURCE_VALUE_CHARS = 50
+
+
+def long_source_values(df: DataFrame, width: int = SOURCE_VALUE_CHARS) -> DataFrame:
+    """Per ``*_source_value`` column: values longer than the standard's width, which are kept whole, and the longest."""
+    columns = [c for c in df.columns if c.endswith("_source_value")]
+    wide = df.agg(
+        *[F.count_if(F.length(c) > width).alias(f"n_{c}") for c in columns], *[F.max(F.length(c)).alias(f"m_{c}") for c in columns]
+    )
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"n_{c}").alias("over_long"), F.col(f"m_{c}").alias("longest")) for c in columns]
+    return wide.select(F.inline(F.array(*rows)))

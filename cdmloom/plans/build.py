@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from cdmloom.model.cdm import CDM
-from cdmloom.model.spec import ColumnMap, TableSpec
+from cdmloom.model.spec import ColumnMap, Rules, TableSpec
 from cdmloom.model.vocabulary import Vocabulary
-from cdmloom.operators.expectations import apply_expectations
+from cdmloom.operators.expectations import apply_expectations, observe_rules, observed_metrics
 from cdmloom.operators.joins import join_sources
 from cdmloom.operators.lookups import apply_lookups
 from cdmloom.operators.projection import append_lookup_targets, map_columns
@@ -53,7 +53,27 @@ def refresh_table(
     names: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Read the sources of a spec, build its table and replace the snapshot at ``path``."""
-    return write_target(build_table(spec, read_sources(spark, spec.sources, names), vocab), path)
+    return refresh_with_metrics(spark, spec, vocab, path, names)[0]
+
+
+def refresh_with_metrics(
+    spark: SparkSession,
+    spec: TableSpec,
+    vocab: Vocabulary,
+    path: str,
+    names: Mapping[str, str] | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """The refreshed table, and what its rules counted while it was written: warn rules too."""
+    rows = project_table(spec, read_sources(spark, spec.sources, names), vocab)
+    return store_with_metrics(rows, spec.expectations, path)
+
+
+def store_with_metrics(rows: DataFrame, rules: Rules, path: str) -> tuple[DataFrame, DataFrame]:
+    """Apply the rules, store what passes as the table's next version, and count in the same pass."""
+    seen = Observation()
+    observed = observe_rules(rows, rules, seen)
+    table = write_target(apply_expectations(observed, rules), path)
+    return table, observed_metrics(rows.sparkSession, rules, seen)
 
 
 def null_columns(table: str, given: set[str]) -> tuple[ColumnMap, ...]:

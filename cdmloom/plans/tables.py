@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdmloom.functions.keys import hash_key
-from cdmloom.functions.values import EHR_RECORD, SOURCE_VALUE_CHARS
+from cdmloom.functions.values import EHR_RECORD
 from cdmloom.model.spec import (
     BY_CONCEPT,
     BY_MAP,
@@ -51,7 +51,7 @@ def _columns(**exprs: str) -> tuple[ColumnMap, ...]:
 
 
 def _kept(expr: str) -> str:
-    return f"substring(cast({expr} as string), 1, {SOURCE_VALUE_CHARS})"
+    return f"cast({expr} as string)"
 
 
 def _reference(style: Style, expr: str) -> str:

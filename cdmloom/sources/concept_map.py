@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cdmloom.functions.values import blank_to_null, compact_date
 from cdmloom.model.vocabulary import CONCEPT_MAP, CONCEPT_MAP_KEY
+from cdmloom.sources.tables import read_target, write_target
 
 MAP_COLUMNS = tuple(CONCEPT_MAP.names)
 
@@ -52,6 +53,11 @@ def upsert_concept_map(current: DataFrame, seed: DataFrame) -> DataFrame:
     )
 
 
+def store_upsert(spark: SparkSession, seed: DataFrame, path: str) -> DataFrame:
+    """Upsert ``seed`` into the map stored at ``path``; the result is its next version."""
+    return write_target(upsert_concept_map(read_target(spark, path), seed), path)
+
+
 def write_draft_map(draft: DataFrame, path: str) -> None:
     """The draft as headed CSV, columns in the map's order."""
     draft.select(*MAP_COLUMNS).write.mode("overwrite").option("header", True).csv(path)

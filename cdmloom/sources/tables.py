@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cdmloom.model.spec import Source
 
+# A stored table is a folder of versions and a log that names them in turn; the last one named holds.
+LOG = "_versions"
+
 
 def read_sources(
     spark: SparkSession, sources: Sequence[Source], names: Mapping[str, str] | None = None
@@ -15,27 +21,48 @@ def read_sources(
     """One aliased DataFrame per source, lazily.
 
     ``names`` fills the placeholders of each table name. A name with a slash is
-    read as a parquet path, any other as a catalog table.
+    read as a path, of plain parquet or of a table with versions, any other as a catalog table.
     """
     out = {}
     for s in sources:
         table = s.table.format(**(names or {}))
-        df = spark.read.parquet(table) if "/" in table else spark.read.table(table)
+        df = read_target(spark, table) if "/" in table else spark.read.table(table)
         out[s.alias] = df.alias(s.alias)
     return out
 
 
-def balanced(df: DataFrame) -> DataFrame:
-    """Spread a fact table over all cores when it arrives in far fewer splits.
+def versions(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the table's versions, oldest first; none where nothing was stored yet."""
+    try:
+        log = spark.read.schema("number LONG, folder STRING").parquet(f"{path}/{LOG}").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return [r["folder"] for r in sorted(log)]
+
+
+def read_target(spark: SparkSession, path: str, back: int = 0) -> DataFrame:
+    """The table's last version, or the one ``back`` versions before; plain parquet without versions."""
+    known = versions(spark, path)
+    return spark.read.parquet(f"{path}/{known[-1 - back]}" if known else path)
+
+
+def write_version(spark: SparkSession, path: str, write: Callable[[str], None]) -> DataFrame:
+    """Let ``write`` fill a fresh folder, then make it the table's version.
 
-    A file that is one row group is one task, and every narrow step after it too.
-    Tables in enough splits, as large ones are, pass through untouched.
+    Readers see the version before until all rows are written: a job that aborts, or a
+    table rebuilt from itself, leaves the old rows where they are. The log has a row a
+    version, so reading it back to the driver is cheap.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    number = len(versions(spark, path))
+    folder = f"v{number:06d}-{uuid4().hex}"
+    write(f"{path}/{folder}")
+    log = spark.range(1).select(F.lit(number).cast("long").alias("number"), F.lit(folder).alias("folder"))
+    log.coalesce(1).write.mode("append").parquet(f"{path}/{LOG}")
+    return read_target(spark, path)
 
 
 def write_target(df: DataFrame, path: str) -> DataFrame:
-    """Replace the table at ``path`` with a full snapshot and read it back."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Store ``df`` as the table's next version and read it back."""
+    return write_version(df.sparkSession, path, df.write.parquet)

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from cdmloom.functions.values import blank_to_null
 from cdmloom.model.vocabulary import VOCABULARY_TABLES
+from cdmloom.sources.tables import write_target
 
 # Fixed value: tables a load must not leave empty.
 REQUIRED_TABLES = ("concept", "concept_relationship")
@@ -24,7 +25,7 @@ def cast_to_schema(df: DataFrame, shape: StructType) -> DataFrame:
 
 
 def read_vocabulary_file(spark: SparkSession, path: str, table: str) -> DataFrame | None:
-    """One file as its typed table, or None where it is missing or lacks columns.
+    """One file as its typed table, or None where it is missing. A file that lacks columns is an error.
 
     Quotes are ordinary characters here: concept names contain unbalanced ones.
     A blank ``invalid_reason`` or ``standard_concept`` means NULL.
@@ -38,9 +39,14 @@ def read_vocabulary_file(spark: SparkSession, path: str, table: str) -> DataFram
             .option("inferSchema", False)
             .csv(path)
         )
-        typed = cast_to_schema(raw, shape)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
+    lacking = [c for c in shape.names if c not in raw.columns]
+    if lacking:
+        raise ValueError(f"{path}: the file for {table} lacks {', '.join(lacking)}")
+    typed = cast_to_schema(raw, shape)
     for flag in ("invalid_reason", "standard_concept"):
         if flag in typed.columns:
             typed = typed.withColumn(flag, blank_to_null(F.col(flag)))
@@ -72,8 +78,7 @@ def store_vocabulary(tables: Mapping[str, DataFrame], folder: str) -> dict[str,
         order = STORED_ORDER.get(name)
         if order:
             df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-        df.write.mode("overwrite").parquet(path)
-        out[name] = df.sparkSession.read.parquet(path)
+        out[name] = write_target(df, path)
     return out
 
 

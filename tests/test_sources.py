@@ -5,11 +5,13 @@ from pyspark.sql import functions as F
 
 from cdmloom.functions import values
 from cdmloom.functions.keys import hash_key, md5_key, row_number_key
-from cdmloom.model.spec import Source
+from cdmloom.model.spec import Rule, Rules, Source
 from cdmloom.model.vocabulary import VOCABULARY_TABLES
 from cdmloom.operators import profiling
+from cdmloom.operators.expectations import expectation_metrics
+from cdmloom.plans.build import store_with_metrics
 from cdmloom.sources import concept_map, vocabulary_files
-from cdmloom.sources.tables import read_sources, write_target
+from cdmloom.sources.tables import read_sources, read_target, write_target
 from tests.conftest import rows
 
 HEADER = "\t".join(VOCABULARY_TABLES["concept"].names)
@@ -23,14 +25,13 @@ def test_vocabulary_files(spark, tmp_path):
         "x\tbad id\tDevice\tV\tK\t\tC\t19700101\t20991231\t",
     ]
     (tmp_path / "CONCEPT.csv").write_text("\n".join(lines) + "\n")
-    (tmp_path / "DOMAIN.csv").write_text("domain_id\nD\n")
     tables = vocabulary_files.load_vocabulary(spark, str(tmp_path))
     assert set(tables) == set(VOCABULARY_TABLES)
     got = tables["concept"].select("concept_id", "concept_name", "standard_concept", "invalid_reason")
     assert rows(got) == [
         (None, "bad id", None, None), (1, '5" needle', "S", None), (2, "plain", None, "D"),
     ]
-    assert tables["domain"].count() == 0  # lacks columns, so it is skipped
+    assert tables["domain"].count() == 0  # its file is missing
     assert tables["vocabulary"].schema == VOCABULARY_TABLES["vocabulary"]
     with pytest.raises(RuntimeError, match="concept_relationship"):
         vocabulary_files.require_non_empty(tables)
@@ -99,6 +100,39 @@ def test_sources_and_targets(spark, tmp_path):
     assert frames["a"].select("a.id").count() == 5
 
 
+def test_an_aborted_build_leaves_the_old_rows(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    write_target(spark.range(5), path)
+    broken = spark.range(9).withColumn("id", F.when(F.col("id") == 8, F.raise_error(F.lit("rule"))).otherwise(F.col("id")))
+    with pytest.raises(Exception, match="rule"):
+        write_target(broken, path)
+    assert read_target(spark, path).count() == 5
+    write_target(read_target(spark, path).limit(2), path)
+    assert read_target(spark, path).count() == 2
+    assert read_target(spark, path, back=1).count() == 5
+
+
+def test_seed_is_stored_and_storing_it_twice_changes_nothing(spark, seed, tmp_path):
+    path = f"{tmp_path}/map"
+    write_target(seed.limit(1), path)
+    once = rows(concept_map.store_upsert(spark, seed, path))
+    assert rows(concept_map.store_upsert(spark, seed, path)) == once
+    assert len(once) == seed.count()
+
+
+def test_a_vocabulary_file_that_does_not_fit_is_an_error(spark, tmp_path):
+    (tmp_path / "CONCEPT_SYNONYM.csv").write_text("concept_id\tconcept_synonym_name\n1\tx\n2\ty\n")
+    with pytest.raises(ValueError, match="language_concept_id"):
+        vocabulary_files.load_vocabulary(spark, str(tmp_path))
+
+
+def test_rules_are_counted_while_a_table_is_stored(spark, tmp_path):
+    rules = Rules(drop=(Rule("small", "id < 8"),), warn=(Rule("even", "id % 2 = 0"),))
+    table, metrics = store_with_metrics(spark.range(10), rules, f"{tmp_path}/t")
+    assert table.count() == 8
+    assert rows(metrics) == rows(expectation_metrics(spark.range(10), rules))
+
+
 # Expressions
 
 
@@ -128,7 +162,7 @@ def test_values(spark):
     ).collect()
     assert tuple(got[0])[:3] == (12.5, None, None)
     assert tuple(got[1])[:3] == (None, "x", dt.date(2020, 2, 29))
-    assert [len(r[3]) for r in got] == [50, 50]
+    assert [len(r[3]) for r in got] == [160, 120]
     assert [r[4:] for r in map(tuple, got)] == [(0, 0), (5, 0)]
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from cdmloom.model.vocabulary import Vocabulary
 from cdmloom.operators.durable import scratch_path
 from cdmloom.operators.spread import configure
-from cdmloom.sources.tables import balanced
 from cdmloom.sources.vocabulary_files import store_vocabulary
 
 # Bronze tables large enough to be spread over all cores before a table is built from them.
@@ -394,6 +393,11 @@ LOADED = {
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
 
 
+def _balanced(df: DataFrame) -> DataFrame:
+    """Over all cores: a test file is one row group, and so one task."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 class Data:
     """The fixtures of one data folder: bronze tables lazily, vocabulary tables as stored files."""
 
@@ -405,7 +409,7 @@ class Data:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def fact(self, name: str) -> DataFrame:
-        return balanced(self[name])
+        return _balanced(self[name])
 
     def stored(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         """What ``make`` gives, written out once per session and folder."""

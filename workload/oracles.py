@@ -352,13 +352,11 @@ oracle(
     from encounter_diagnosis d left join encounter e on e.encounter_id = d.encounter_id
     left join {hop('Condition')} m on m.code = d.diagnosis_code""",
 )
-_DOMAINS = ("Condition", "Drug", "Measurement", "Observation", "Procedure")
 oracle(
     "fanout_by_domain",
-    "select code as source_code, "
-    + ", ".join(f"count(*) filter (domain_id = '{d}') as \"{d}\"" for d in _DOMAINS)
-    + f""" from {hop(None)} where code in (select diagnosis_code from encounter_diagnosis)
-    group by code""",
+    f"""select code as source_code, domain_id, count(*) as targets
+    from {hop(None)} where code in (select diagnosis_code from encounter_diagnosis)
+    group by code, domain_id""",
 )
 
 
@@ -553,12 +551,14 @@ oracle(
 )
 oracle(
     "format_mismatch",
-    """select k.vocabulary_id, k.source_code, c.concept_code, c.concept_id
-    from classified k join concept c on c.vocabulary_id = k.vocabulary_id
-        and regexp_replace(upper(c.concept_code), '[^A-Z0-9]', '', 'g')
-          = regexp_replace(upper(k.source_code), '[^A-Z0-9]', '', 'g')
-    where k.bucket = 'unresolved_no_concept'
-      and regexp_replace(upper(k.source_code), '[^A-Z0-9]', '', 'g') <> ''""",
+    """select u.vocabulary_id, u.source_code, k.concept_code, k.concept_id from unknown_codes u
+    join known_codes k on k.vocabulary_id = u.vocabulary_id and k.plain_code = u.plain_code
+    where u.plain_code <> ''""",
+    unknown_codes="""select vocabulary_id, source_code,
+        regexp_replace(upper(source_code), '[^A-Z0-9]', '', 'g') as plain_code
+        from classified where bucket = 'unresolved_no_concept'""",
+    known_codes="""select vocabulary_id, concept_code, concept_id,
+        regexp_replace(upper(concept_code), '[^A-Z0-9]', '', 'g') as plain_code from concept""",
     **DRAFT,
 )
 oracle(
@@ -588,7 +588,7 @@ def _fact(table: str, bronze: str, stem: str, code: str, moment: str, domain: st
     return f"""select {key} as {table}_id, e.patient_id as person_id,
         cast(f.{moment} as date) as {start}_date, cast(f.{moment} as timestamp) as {start}_datetime,
         {_TYPE} as {stem}_type_concept_id, e.provider_id, e.encounter_id as visit_occurrence_id,
-        substring(f.{code}, 1, 50) as {stem}_source_value,
+        f.{code} as {stem}_source_value,
         coalesce(m.target, 0) as {stem}_concept_id,
         coalesce(s.target, 0) as {stem}_source_concept_id {more}
     from {bronze} f {_ENC}
@@ -779,6 +779,20 @@ oracle(
     ]),
     **RAW_VISITS,
 )
+oracle(
+    "long_source_values",
+    " union all ".join(
+        f"select '{c}' as column_name, count(*) filter (length({c}) > 50) as over_long, max(length({c})) as longest from built"
+        for c in ("condition_source_value", "condition_status_source_value")
+    ),
+    built=BUILDS["condition_occurrence"],
+)
+oracle("build_metrics", " union all ".join([
+    _metric("fail", "valid_pk", "visit_occurrence_id is not null"),
+    _metric("drop", "valid_dates", _DATES),
+    _metric("warn", "known_visit", "visit_concept_id <> 0", _DATES),
+    _metric("warn", "short_stay", "provider_id < 5", _DATES),
+]), **RAW_VISITS)
 oracle("check_date_order", _metric("drop", "valid_dates", _DATES), **RAW_VISITS)
 
 # Conformance: one query per table, layer and column
@@ -1060,7 +1074,7 @@ oracle(
 oracle(
     "source_value",
     """select source_code,
-        substring(repeat(source_code || ' ' || source_code_description, 5), 1, 50) as code_source_value
+        repeat(source_code || ' ' || source_code_description, 5) as code_source_value
     from seed_map""",
 )
 oracle(

@@ -30,7 +30,7 @@ from cdmloom.operators.joins import join_sources
 from cdmloom.operators.lookups import apply_lookups, write_crosswalk
 from cdmloom.operators.projection import append_lookup_targets, map_columns
 from cdmloom.plans import tables
-from cdmloom.plans.build import build_table, project_table, refresh_table
+from cdmloom.plans.build import build_table, project_table, refresh_table, store_with_metrics
 from cdmloom.sources import concept_map, vocabulary_files
 from cdmloom.sources.tables import read_sources, write_target
 from workload.fixtures import FACTS, Data
@@ -112,7 +112,9 @@ def union_license_gated(data: Data) -> DataFrame:
 @query
 def upsert_concept_map(data: Data) -> DataFrame:
     seed = concept_map.normalize_seed_map(data["seed_map"])
-    return concept_map.upsert_concept_map(data["source_to_concept_map"], seed)
+    path = scratch_path(data.spark, "concept_map")
+    write_target(data["source_to_concept_map"], path)
+    return concept_map.store_upsert(data.spark, seed, path)
 
 
 @query
@@ -478,13 +480,10 @@ def null_rates(data: Data) -> DataFrame:
     return profiling.null_rates(raw, ["person_id", "provider_id", "condition_concept_id"])
 
 
-DOMAINS = ["Condition", "Drug", "Measurement", "Observation", "Procedure"]
-
-
 @query
 def fanout_by_domain(data: Data) -> DataFrame:
     return coverage.fanout_by_domain(
-        data["encounter_diagnosis"], "diagnosis_code", data.vocab, "SRC", DOMAINS
+        data["encounter_diagnosis"], "diagnosis_code", data.vocab, "SRC"
     )
 
 
@@ -655,6 +654,18 @@ def expectation_metrics(data: Data) -> DataFrame:
     return expectations.expectation_metrics(_raw_visits(data), VISIT_RULES)
 
 
+@query
+def build_metrics(data: Data) -> DataFrame:
+    """Counts of a build's rules, warn rules too, taken while its table is written."""
+    rules = Rules(VISIT_RULES.fail[:1], VISIT_RULES.drop, VISIT_RULES.warn)
+    return store_with_metrics(_raw_visits(data), rules, scratch_path(data.spark, "visits"))[1]
+
+
+@query
+def long_source_values(data: Data) -> DataFrame:
+    return profiling.long_source_values(_build(data, "condition_occurrence"))
+
+
 # Table builds
 
 BRONZE = {
@@ -673,11 +684,11 @@ BRONZE = {
 
 def _build(data: Data, table: str, style: tables.Style = STYLE) -> DataFrame:
     if table == "observation_period":
-        return eras.observation_period(_build(data, "visit_occurrence", style), md5_key)
+        return eras.observation_period(_stored(data, "visit_occurrence"), md5_key)
     if table == "condition_era":
-        return eras.condition_era(_build(data, "condition_occurrence", style), key=md5_key)
+        return eras.condition_era(_stored(data, "condition_occurrence"), key=md5_key)
     if table == "drug_era":
-        return eras.drug_era(_build(data, "drug_exposure", style), key=md5_key)
+        return eras.drug_era(_stored(data, "drug_exposure"), key=md5_key)
     if table == "location":
         frames = {"loc": tables.distinct_locations(data["patient"])}
     else:
