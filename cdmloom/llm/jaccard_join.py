@@ -46,6 +46,8 @@ ALIKE = 0.4
 PROBES = 8
 #: Members of large nodes that are broadcast to their signatures, at most; more are joined by a shuffle.
 BROADCAST_MEMBERS = 400_000
+#: A run begins with this many splits at once, as most nodes of one split share a passage and no more.
+FIRST_DEPTH = 2
 #: Runs are begun for trees of this depth; more follow if the trees get deeper.
 EXPECTED_DEPTH = 3
 #: Members of a block of a large leaf.
@@ -181,14 +183,20 @@ def _split(members: DataFrame, reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members.join(nodes.where("alike"), "node").select("node", "key", "size"), below
 
 
+def _first_coordinates(run: int) -> tuple[int, int]:
+    """Two coordinates, which no other of the first ``TOKENS / 2`` runs has."""
+    again = run * 2 // TOKENS
+    return _ROOTS[run * 2 % TOKENS], _ROOTS[(run * 2 + 1 + 2 * again) % TOKENS]
+
+
 def leaves(reps: DataFrame, recall: float = RECALL, threshold: float = THRESHOLD) -> DataFrame:
     """(node, key, size) of every leaf with two members or more. Stored piece by piece."""
     done, first, deepest = [], 0, EXPECTED_DEPTH
     while first < (last := runs_needed(deepest, recall, threshold)):
-        roots = [F.struct(F.lit(r).alias("run"), F.lit(_ROOTS[r]).alias("at")) for r in range(first, last)]
+        roots = [F.struct(F.lit(r).alias("run"), *[F.lit(c).alias(n) for n, c in zip(("one", "two"), _first_coordinates(r), strict=True)]) for r in range(first, last)]
         top = reps.select("key", "signature", F.explode(F.array(*roots)).alias("root"))
-        members = top.select(_node(F.col("root.run"), F.col("root.run"), F.col("root.at"), _token(F.col("root.at"))).alias("node"), "key")
-        for depth in range(1, DEPTH + 1):
+        members = top.select(_node(F.col("root.run"), F.lit(SEED), F.col("root.run"), _token(F.col("root.one")), _token(F.col("root.two"))).alias("node"), "key")
+        for depth in range(FIRST_DEPTH, DEPTH + 1):
             leaf, large = _children(members)
             done.append(leaf)
             if large.isEmpty():
