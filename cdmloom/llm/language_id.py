@@ -54,13 +54,13 @@ def learn(labelled: DataFrame, id: str = "doc_id", text: str = "text", lang: str
     wanted = rows.where(F.col("id").isin(ids) if None not in {i for _, i, _ in chosen} else F.col("id").isin(ids) | F.col("id").isNull())
     texts: dict[str, list[tuple[int, str]]] = {}
     rank = {(a, b): c for a, b, c in chosen}
-    for r in wanted.dropDuplicates(["lang", "text"]).collect():
+    for r in wanted.collect():
         if (r["lang"], r["id"]) in rank:
             texts.setdefault(r["lang"], []).append((rank[r["lang"], r["id"]], r["text"]))
     made = {}
     for code, found in texts.items():
         room, parts = content, []
-        for _, t in sorted(found):
+        for t in dict.fromkeys(t for _, t in sorted(found)):  # a copy adds nothing
             part = t.lower().encode()
             if len(part) < room:
                 parts.append(part)
