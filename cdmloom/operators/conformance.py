@@ -18,6 +18,7 @@ from pyspark.sql.types import StructType
 from cdmloom.model.cdm import CDM, Column
 from cdmloom.operators.profiling import TOP, duplicate_keys
 from cdmloom.operators.spread import BROADCAST_BYTES, attach
+from cdmloom.sources.tables import write_target
 
 FINDING = "table_name STRING, layer INT, status STRING, check STRING, message STRING"
 
@@ -354,8 +355,14 @@ def layer_summary(found: DataFrame) -> DataFrame:
     )
 
 
-def gate_on_findings(found: DataFrame) -> DataFrame:
-    """The findings again; raises when any of them is a failure."""
+def gate_on_findings(found: DataFrame, path: str | None = None) -> DataFrame:
+    """The findings again; raises when any of them is a failure.
+
+    With a ``path`` they are stored there first, as the next version: the gate reads the stored
+    rows, so the checks run once, and a failed gate leaves its findings to be read.
+    """
+    if path is not None:
+        found = write_target(found, path)
     failed = found.filter(F.col("status") == "FAIL").count()
     if failed:
         raise RuntimeError(f"{failed} conformance checks failed")
@@ -417,7 +424,7 @@ def check_table_fk(
         return wanted.withColumns({c: F.lit(n).cast("bigint") for c, n in none.items()})
     keys = _union(
         [
-            tables[p].selectExpr(f"{_text(p)} as parent", f"cast(`{k}` as bigint) as id").distinct()
+            tables[p].selectExpr(f"{_text(p)} as parent", f"cast(`{k}` as bigint) as id")
             for p, k in parents.items()
         ]
     )

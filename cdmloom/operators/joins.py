@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdmloom.model.spec import Join
-from cdmloom.operators.spread import BROADCAST_BYTES, attach
+from cdmloom.operators.spread import BROADCAST_BYTES, attach, attach_keeping_right
 
 # Accepted names of join types.
 JOIN_TYPES = {
@@ -40,8 +40,8 @@ def join_sources(
     """Left fold of the aliased sources along ``joins``.
 
     An inner or left join given by ``keys`` broadcasts the right side if it
-    measures small and otherwise spreads hot keys. Other joins, and those given
-    only by a SQL ``condition``, are left to Catalyst and AQE. Only the type ``cross``
+    measures small and otherwise spreads hot keys; so does a right or full one given
+    by ``keys`` alone. Other joins, and those with a SQL ``condition`` instead, are left to Catalyst and AQE. Only the type ``cross``
     may come without any condition, whatever the sizes: naming it is the opt-in.
     """
     for alias in [j.left for j in joins[:1]] + [j.right for j in joins]:
@@ -62,6 +62,10 @@ def join_sources(
             pairs = [(F.expr(a), F.expr(b)) for a, b in j.keys]
             out = attach(out, right, pairs, how, broadcast_bytes, extra, fraction, rows_first=True)
             continue
+        if j.keys and extra is None and how in ("right", "outer"):
+            pairs = [(F.expr(a), F.expr(b)) for a, b in j.keys]
+            out = attach_keeping_right(out, right, pairs, how, broadcast_bytes, fraction)
+            continue
         on = extra
         for a, b in j.keys:
             equal = F.expr(a) == F.expr(b)

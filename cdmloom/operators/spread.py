@@ -57,6 +57,12 @@ def _key_hash(keys: Sequence[Column]) -> Column:
     return F.xxhash64(*[k.cast("string") for k in keys])
 
 
+def _row_hash(df: DataFrame) -> str:
+    """SQL text hashing the whole row; maps have no hash of their own and go in as JSON."""
+    mapped = any("map<" in f.dataType.simpleString() for f in df.schema.fields)
+    return "xxhash64(to_json(struct(*)))" if mapped else "xxhash64(*)"
+
+
 def hot_keys(df: DataFrame, keys: Sequence[Column], fraction: float = 0.01) -> list[int]:
     """Hashes of the most frequent keys, at most ``HOT_KEYS`` of them.
 
@@ -79,9 +85,8 @@ def spread_join(
 ) -> DataFrame:
     """Inner or left equi-join with hot and NULL keys of ``left`` spread over ``spread`` tasks.
 
-    A hot key's rows arrive in many input partitions, so the salt is derived from
-    the partition number: no column has to be read for it, and a repeated task
-    sends every row where the first attempt sent it, whatever order it reads in.
+    The salt is a hash of the row, so a key that lies in one input partition is spread too, and
+    a repeated task sends every row where the first attempt sent it, whatever order it reads in.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"cannot spread a {how} join")
@@ -90,7 +95,7 @@ def spread_join(
     no_key = F.lit(False)
     for k in lkeys:
         no_key = no_key | k.isNull()
-    scattered = F.expr(f"cast(pmod(xxhash64(spark_partition_id()), {spread}) as int)")
+    scattered = F.expr(f"cast(pmod({_row_hash(left)}, {spread}) as int)")
     left = left.withColumn(
         "__salt", F.when(no_key | _key_hash(lkeys).isin(hot), scattered).otherwise(F.lit(0))
     )
@@ -121,3 +126,30 @@ def attach(
     for lk, rk in pairs:
         on = on & (lk == rk)
     return facts.join(F.broadcast(side), on, how)
+
+
+def attach_keeping_right(
+    left: DataFrame,
+    right: DataFrame,
+    pairs: Sequence[tuple[Column, Column]],
+    how: str,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    fraction: float = 0.01,
+) -> DataFrame:
+    """Right or full equi-join of facts on the left, for which the engine cannot split a hot key.
+
+    The matches (with the unmatched left rows, for ``outer``) are an inner or left join that
+    :func:`attach` can broadcast or spread. The right rows without a match follow: they are told
+    by the distinct keys of ``left``, which are reduced before they move.
+    """
+    if how not in ("right", "outer"):
+        raise ValueError(f"{how} is neither a right nor a full join")
+    inner = {"right": "inner", "outer": "left"}[how]
+    found = attach(left, right, pairs, inner, broadcast_bytes, None, fraction, rows_first=True)
+    names = [f"__key_{i}" for i in range(len(pairs))]
+    keys = left.select(*[lk.alias(n) for (lk, _), n in zip(pairs, names)]).distinct()
+    on = F.lit(True)
+    for (_, rk), n in zip(pairs, names):
+        on = on & (rk == F.col(n))
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in left.schema.fields]
+    return found.union(right.join(keys, on, "left_anti").select(*nulls, "*"))

@@ -24,15 +24,13 @@ def cast_to_schema(df: DataFrame, shape: StructType) -> DataFrame:
     )
 
 
-def read_vocabulary_file(spark: SparkSession, path: str, table: str) -> DataFrame | None:
-    """One file as its typed table, or None where it is missing. A file that lacks columns is an error.
+def read_raw(spark: SparkSession, path: str) -> DataFrame | None:
+    """One file as text columns, or None where it is missing.
 
     Quotes are ordinary characters here: concept names contain unbalanced ones.
-    A blank ``invalid_reason`` or ``standard_concept`` means NULL.
     """
-    shape = VOCABULARY_TABLES[table]
     try:
-        raw = (
+        return (
             spark.read.option("header", True)
             .option("sep", "\t")
             .option("quote", "")
@@ -43,6 +41,17 @@ def read_vocabulary_file(spark: SparkSession, path: str, table: str) -> DataFram
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
+
+
+def read_vocabulary_file(spark: SparkSession, path: str, table: str) -> DataFrame | None:
+    """One file as its typed table, or None where it is missing. A file that lacks columns is an error.
+
+    A blank ``invalid_reason`` or ``standard_concept`` means NULL.
+    """
+    shape = VOCABULARY_TABLES[table]
+    raw = read_raw(spark, path)
+    if raw is None:
+        return None
     lacking = [c for c in shape.names if c not in raw.columns]
     if lacking:
         raise ValueError(f"{path}: the file for {table} lacks {', '.join(lacking)}")
@@ -62,6 +71,32 @@ def load_vocabulary(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return out
 
 
+def load_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Every vocabulary table with its status, OK or SKIP for a missing file, and its rows.
+
+    ``bad_values`` counts texts that are no value of their column's type and became NULL.
+    """
+    out = None
+    for table, shape in VOCABULARY_TABLES.items():
+        path = f"{folder.rstrip('/')}/{table.upper()}.csv"
+        raw = read_raw(spark, path)
+        if raw is None:
+            one = spark.range(1).selectExpr("cast(0 as bigint) as row_count", "cast(0 as bigint) as bad_values")
+        else:
+            read_vocabulary_file(spark, path, table)  # raises if the file does not fit
+            bad = [
+                F.count_if(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull())
+                for f in shape.fields
+            ]
+            total = bad[0]
+            for b in bad[1:]:
+                total = total + b
+            one = raw.agg(F.count(F.lit(1)).alias("row_count"), total.alias("bad_values"))
+        one = one.select(F.lit(table).alias("table_name"), F.lit("SKIP" if raw is None else "OK").alias("status"), "row_count", "bad_values")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # Columns the stored tables are laid out by, so lookups skip most row groups.
 STORED_ORDER = {
     "concept": ("vocabulary_id", "concept_code"),

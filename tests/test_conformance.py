@@ -2,6 +2,7 @@ import pytest
 
 from cdmloom.model.cdm import CDM, struct_type
 from cdmloom.operators import conformance
+from cdmloom.sources.tables import read_target
 from tests.conftest import rows
 
 
@@ -102,6 +103,16 @@ def test_summary_gate_and_counts(spark, death, vocab):
     assert conformance.gate_on_findings(passing) is passing
 
 
+def test_gate_stores_its_findings(spark, death, vocab, tmp_path):
+    out = conformance.validate_table(spark, "death", death, vocab.concept)
+    path = str(tmp_path / "findings")
+    with pytest.raises(RuntimeError, match="5 conformance checks failed"):
+        conformance.gate_on_findings(out, path)
+    assert rows(read_target(spark, path)) == rows(out)
+    passing = out.filter("status <> 'FAIL'")
+    assert rows(conformance.gate_on_findings(passing, path)) == rows(passing) == rows(read_target(spark, path))
+
+
 def test_extra_columns_warn_but_fail_the_layer(spark, death):
     from pyspark.sql import functions as F
 

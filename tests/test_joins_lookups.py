@@ -233,3 +233,50 @@ def test_measured_bytes_counts_text(spark):
     assert fits_broadcast(small, 34) and fits_broadcast(small, 34, rows_first=True)
     assert not fits_broadcast(small, 33) and not fits_broadcast(small, 31, rows_first=True)
     assert not fits_broadcast(small, 0)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    left=st.lists(st.tuples(st.sampled_from(["hot", "hot", "a", "b", None]), st.integers(0, 3)), max_size=20),
+    right=st.lists(st.tuples(st.sampled_from(["hot", "a", "c", None]), st.integers(0, 3)), max_size=8),
+    how=st.sampled_from(["right", "full"]),
+    limit=st.sampled_from([0, 1 << 20]),
+)
+def test_right_and_full_joins_by_keys_equal_plain_joins(spark, left, right, how, limit):
+    frames = {
+        "f": spark.createDataFrame(left, "k STRING, v INT").alias("f"),
+        "d": spark.createDataFrame(right, "k STRING, w INT").alias("d"),
+    }
+    plain = join_sources(frames, [Join("f", "d", "f.k = d.k", how)])
+    keyed = join_sources(frames, [Join("f", "d", type=how, keys=(("f.k", "d.k"),))], limit, 1.0)
+    columns = ["f.k", "f.v", "d.k", "d.w"]
+    assert rows(keyed.select(*columns)) == rows(plain.select(*columns))
+
+
+SHUFFLED = {
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+}
+
+
+@pytest.fixture
+def shuffled(spark):
+    """A session that joins by shuffles, as it would beyond the size for broadcasts."""
+    before = {name: spark.conf.get(name, None) for name in SHUFFLED}
+    for name, value in SHUFFLED.items():
+        spark.conf.set(name, value)
+    yield spark
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("how", ["left", "right", "full"])
+def test_a_clustered_hot_key_is_shared_by_many_tasks(shuffled, how):
+    facts = shuffled.range(0, 3000, 1, 1).selectExpr("if(id >= 0, 'hot', string(id)) as k", "id as v")
+    side = shuffled.createDataFrame([("hot", 1), ("cold", 2)], "k STRING, w INT")
+    frames = {"f": facts.alias("f"), "d": side.alias("d")}
+    out = join_sources(frames, [Join("f", "d", type=how, keys=(("f.k", "d.k"),))], 0, 1.0)
+    placed = out.filter("v is not null").select(F.spark_partition_id().alias("task"), "v").collect()
+    assert sorted(r["v"] for r in placed) == list(range(3000))
+    assert len({r["task"] for r in placed}) > 2

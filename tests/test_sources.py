@@ -33,6 +33,9 @@ def test_vocabulary_files(spark, tmp_path):
     ]
     assert tables["domain"].count() == 0  # its file is missing
     assert tables["vocabulary"].schema == VOCABULARY_TABLES["vocabulary"]
+    report = {r["table_name"]: tuple(r)[1:] for r in vocabulary_files.load_report(spark, str(tmp_path)).collect()}
+    assert report.pop("concept") == ("OK", 3, 1)
+    assert len(report) == len(VOCABULARY_TABLES) - 1 and set(report.values()) == {("SKIP", 0, 0)}
     with pytest.raises(RuntimeError, match="concept_relationship"):
         vocabulary_files.require_non_empty(tables)
     assert rows(vocabulary_files.require_non_empty(tables, ["concept"])) == [("concept", 3)]

@@ -75,6 +75,15 @@ def mapped(vocabulary: str) -> str:
 # Sources and sinks
 
 oracle("load_vocabulary", "select * from concept")
+oracle(
+    "load_report",
+    """select 'concept' as table_name, 'OK' as status, count(*) as row_count,
+        cast(0 as bigint) as bad_values from concept
+    union all select 'concept_relationship', 'OK', count(*), 0 from concept_relationship
+    union all select t, 'SKIP', 0, 0 from (values ('vocabulary'), ('domain'), ('concept_class'),
+        ('relationship'), ('concept_synonym'), ('concept_ancestor'), ('drug_strength'),
+        ('concept_cpt4')) as v(t)""",
+)
 oracle(
     "cast_to_schema",
     """select cast(measurement_id as int) as concept_id_1,

@@ -71,6 +71,11 @@ def load_vocabulary(data: Data) -> DataFrame:
     return vocabulary_files.load_vocabulary(data.spark, _stored_vocabulary(data))["concept"]
 
 
+@query
+def load_report(data: Data) -> DataFrame:
+    return vocabulary_files.load_report(data.spark, _stored_vocabulary(data))
+
+
 @query
 def cast_to_schema(data: Data) -> DataFrame:
     text = data["clinical_measurement"].select(
@@ -892,9 +897,9 @@ def standard_rate(data: Data) -> DataFrame:
 
 @query
 def gate_on_findings(data: Data) -> DataFrame:
-    """A table that passes the gate; its findings come back unchanged."""
+    """A table that passes the gate; its findings are stored and come back unchanged."""
     person = conformance.check_not_null(data.spark, "person", _stored(data, "person"))
-    return conformance.gate_on_findings(person)
+    return conformance.gate_on_findings(person, scratch_path(data.spark, "findings"))
 
 
 # Scalar expressions
