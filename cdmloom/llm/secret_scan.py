@@ -9,8 +9,9 @@ identifiers, secrets, endpoints) are rows with intervals, a part's scope is its
 - a weak secret (a run of 32 to 128 base64 characters with upper case, lower case and digits) needs an identifier;
 - an endpoint (a URL or a host of a cloud service) needs both an identifier and a secret.
 
-The interval join is a semi-join on (text, bin): bins are as wide as the scope, so a partner is in the
-part's bin or a neighbour, and no pairs are made. A bin holds as many parts as fit in ``SCOPE`` characters,
+The interval join is a semi-join on (text, bin): a partner's scope stands in every bin it touches, a candidate
+in the bins of its first and its last character, and no pairs are made. As a partner lies wholly before or behind
+the candidate, its scope meets the candidate only if it covers one of the two. A bin holds as many parts as fit in ``SCOPE`` characters,
 however long the text. Only parts travel, keyed by the id and a hash of the text; texts stay where they are.
 
 Defined results: null text counts as empty; null ids match each other; repeated rows give the same spans
@@ -126,7 +127,8 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     def having(rows: DataFrame, kind: str) -> DataFrame:
         other = scopes(kind)
         apart = (F.col("pend") <= F.col("start")) | (F.col("end") <= F.col("pstart"))
-        return rows.withColumn("bin", F.floor(F.col("start") / scope)).join(
+        ends = F.array_distinct(F.array(F.floor(F.col("start") / scope), F.floor((F.col("end") - 1) / scope)))
+        return rows.withColumn("bin", F.explode(ends)).join(
             other,
             (F.col("h") == F.col("ph"))
             & F.col("id").eqNullSafe(F.col("pid"))
