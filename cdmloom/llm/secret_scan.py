@@ -6,7 +6,7 @@ identifiers, secrets, endpoints) are rows with intervals, a part's scope is its
 ``SCOPE`` code points on both sides, and an interval join within the text finds the partners.
 
 - a weak identifier (a short access id, or an assigned user, account or client id) needs a secret;
-- a weak secret (a run of 32 to 128 base64 characters with upper case, lower case and digits) needs an identifier;
+- a weak secret (a whole run of 32 base64 characters or more with upper case, lower case and digits) needs an identifier;
 - an endpoint (a URL or a host of a cloud service) needs both an identifier and a secret.
 
 The interval join is a semi-join on (text, bin): a partner's scope stands in every bin it touches, a candidate
@@ -36,7 +36,7 @@ HEX = "[0-9a-f]+"
 # The weak ones.
 SHORT_ID = "A(?:KIA|SIA|GPA|IDA|ROA)[A-Z0-9]{8,}"
 NAMED_ID = "\\b(?:user|username|login|account|client_?id|access_?key_?id)[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9_.@-]{3,}"
-BASE64 = "[A-Za-z0-9+/_-]{32,128}={0,2}"
+BASE64 = "[A-Za-z0-9+/_-]{32,}={0,2}"
 ENDPOINT = "\\b[a-z][a-z0-9+.-]{1,12}://[^\\s\"'<>]{4,}|\\b[a-z0-9-]+(?:\\.[a-z0-9-]+)*\\.(?:amazonaws\\.com|windows\\.net|googleapis\\.com)\\b"
 
 #: Kinds in the order in which spans with the same start are listed.
