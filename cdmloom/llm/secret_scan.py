@@ -35,9 +35,10 @@ ACCESS = "AKIA[A-Z0-9]+"
 HEX = "[0-9a-f]+"
 # The weak ones.
 SHORT_ID = "A(?:KIA|SIA|GPA|IDA|ROA)[A-Z0-9]{8,}"
-NAMED_ID = "\\b(?:user|username|login|account|client_?id|access_?key_?id)[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9_.@-]{3,}"
+# A name may follow an underscore, or begin with a capital within a word (dbUser).
+NAMED_ID = "(?i)(?:(?<![A-Za-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))(?:user|username|login|account|client_?id|access_?key_?id)[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9_.@-]{3,}"
 BASE64 = "[A-Za-z0-9+/_-]{32,}={0,2}"
-ENDPOINT = "\\b[a-z][a-z0-9+.-]{1,12}://[^\\s\"'<>]{4,}|\\b[a-z0-9-]+(?:\\.[a-z0-9-]+)*\\.(?:amazonaws\\.com|windows\\.net|googleapis\\.com)\\b"
+ENDPOINT = "(?i)(?<![A-Za-z0-9])[a-z][a-z0-9+.-]{1,12}://[^\\s\"'<>]{4,}|(?<![A-Za-z0-9])[a-z0-9][a-z0-9-]*(?:\\.[a-z0-9-]+)*\\.(?:amazonaws\\.com|windows\\.net|googleapis\\.com)\\b"
 
 #: Kinds in the order in which spans with the same start are listed.
 KINDS = ("assign", "access", "hex", "id", "secret", "endpoint")

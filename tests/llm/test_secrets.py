@@ -111,3 +111,13 @@ def test_a_long_secret_is_one_span(spark):
         assert r["spans"].split(",")[0] == f"secret:0:{len(tokens[r['doc_id']])}"
     out = docs.join(found.select("doc_id", "found"), "doc_id").select(s.redacted(F.col("text"), F.col("found"), "#").alias("t")).collect()
     assert [r["t"] for r in out] == ["# #"] * len(tokens)
+
+
+def test_names_and_endpoints_in_any_case(spark):
+    names = ["DB_USER=", "USERNAME: ", "Client_Id=", "clientId=", "db_user=", "aws_access_key_id=", "AWS_ACCESS_KEY_ID=", "dbUser: ", "export LOGIN='", '"ACCOUNT": "']
+    hosts = ["HTTPS://H.EXAMPLE/x", "Postgres://db/x", "DB_URL=JDBC:POSTGRESQL://db.example/x", "S3.EU.AmazonAWS.com"]
+    texts = [f"{n}bob99\nX={KEY}\nAT={h}\n" for n in names for h in hosts] + [f"superuser=bob99 {KEY}"]
+    got = {r["doc_id"]: r["spans"] for r in s.scan(samples.documents(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)])).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == brute(t)[1]
+        assert {x.split(":")[0] for x in got[i].split(",") if x} == ({"id", "secret", "endpoint"} if i < len(texts) - 1 else set())
