@@ -108,8 +108,8 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     parts = texts.select("id", "h", F.explode(F.concat(strong, "weak")).alias("s")).select("id", "h", "s.*")
     role = F.when(F.col("kind").isin("access", "id"), "id").when(F.col("kind") == "endpoint", "endpoint").otherwise("secret")
     parts = parts.withColumn("role", role)
-    # What lies in a strong span, or in a weak one of another kind that is longer, is no candidate of its own.
-    inside = lambda w: F.exists(strong, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"]))
+    # What lies whole in one strong span is reported with it and no candidate of its own.
+    inside = lambda w: F.exists(strong, lambda s: (s["start"] <= w["start"]) & (w["end"] <= s["end"]))
     weak = texts.select("id", "h", F.explode(F.filter("weak", lambda w: ~inside(w))).alias("s")).select("id", "h", "s.*")
 
     def scopes(kind: str) -> DataFrame:
