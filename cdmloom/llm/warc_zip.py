@@ -4,7 +4,8 @@ A package is a ZIP file with the records in ``archive/data.warc.gz`` (each recor
 its own), their places in ``indexes/index.cdxj`` and a ``datapackage.json``, all stored, not deflated.
 The reader finds the central directory from the end of the file (by the ZIP64 records where there
 are any), locates the stored archive and index members, and reads ranges of records straight out of
-the package; nothing is extracted. Index and ranges are rows, so the records of one large package are
+the package; nothing is extracted. An index, in any order, plain or compressed, only says where a member may be
+cut: every byte of an archive member is in one range, listed or not; without an index a member is one range. Index and ranges are rows, so the records of one large package are
 spread over many tasks. Packages are read and written through ``pyarrow.fs`` in the shared folder.
 
 A writing task names its file after its attempt and returns the name as a row; a file left by a
@@ -13,7 +14,9 @@ lost or repeated attempt is in no row and is never read.
 Defined results: a null html is an empty payload; a null url leaves out the target; rows with equal
 payloads and the same largest id are all responses; a null id is never the largest, and where a
 payload has null ids alone its records are responses; repeated rows give repeated records; an empty
-table gives no rows; only the id, url and html are read, so other columns may have any name.
+table gives no rows; only the id, url and html are read, so other columns may have any name. Records of
+other types (warcinfo, request, resource) are returned with their type, the payload being their block without
+HTTP headers; record ids that are not pages' are null; a digest that is missing or not SHA-1 is taken from the payload.
 """
 
 from __future__ import annotations
@@ -224,29 +227,79 @@ def members(file: Any, size: int) -> list[Member]:
     return found
 
 
+def _inflated(pieces: Iterator[bytes], wbits: int) -> Iterator[bytes]:
+    """The pieces decompressed, one compressed stream after the other."""
+    decompress = zlib.decompressobj(wbits)
+    for pending in pieces:
+        while pending:
+            if decompress.eof:
+                decompress = zlib.decompressobj(wbits)
+            yield decompress.decompress(pending)
+            pending = decompress.unused_data
+    if not decompress.eof:
+        raise ValueError("a compressed index is cut off")
+
+
+def index_lines(file: Any, index: Member) -> Iterator[bytes]:
+    """The lines of an index, which may be deflated in the package, a file of gzip members, or both."""
+    pieces: Iterator[bytes] = (_read(file, index.begin + at, min(PIECE, index.size - at)) for at in range(0, index.size, PIECE))
+    if index.method == zipfile.ZIP_DEFLATED:
+        pieces = _inflated(pieces, -15)
+    elif index.method:
+        raise ValueError(f"{index.name} is compressed by method {index.method}")
+    if index.name.endswith(".gz") and index.size:
+        pieces = _inflated(pieces, 31)
+    rest = b""
+    for piece in pieces:
+        *lines, rest = (rest + piece).split(b"\n")
+        yield from lines
+    if rest:
+        yield rest
+
+
+def _places(file: Any, found: list[Member], archives: list[Member]) -> dict[str, set[int]]:
+    """By archive member, the ends of the records that the indexes list, in no order."""
+    by_name: dict[str, str | None] = {}
+    for m in archives:
+        last = m.name.rpartition("/")[2]
+        by_name[last] = None if last in by_name else m.name  # of two members alike in name neither is meant
+    for m in archives:
+        by_name |= {m.name: m.name, m.name.removeprefix("archive/"): m.name}
+    size, ends = {m.name: m.size for m in archives}, {m.name: set() for m in archives}
+    for index in found:
+        if not index.name.startswith("indexes/") or not index.name.removesuffix(".gz").endswith((".cdxj", ".cdx")):
+            continue
+        for line in index_lines(file, index):
+            at = 0 if line.startswith(b"{") else line.find(b" {") + 1
+            if line.startswith(b"!") or line[at : at + 1] != b"{":
+                continue  # not a record's line
+            place = json.loads(line[at:])
+            name = archives[0].name if len(archives) == 1 else by_name.get(place.get("filename", ""))
+            if name is None or "offset" not in place or "length" not in place:
+                continue
+            begin, end = int(place["offset"]), int(place["offset"]) + int(place["length"])
+            if begin < 0 or end > size[name]:
+                raise ValueError(f"{index.name} lists a record at {begin} to {end} of {name}, which has {size[name]} bytes")
+            ends[name] |= {begin, end}
+    return ends
+
+
 def ranges(file: Any, size: int, most: int = RANGE) -> Iterator[tuple[int, int]]:
-    """Runs of whole records, of about ``most`` bytes each, as offsets in the package."""
+    """Runs of whole records, of about ``most`` bytes each, as offsets in the package; together the whole archive members."""
     found = members(file, size)
-    indexes = {m.name.rpartition("/")[0]: m for m in found if m.name.startswith("indexes/")}
-    for m in found:
-        if not m.name.startswith("archive/"):
-            continue
+    archives = [m for m in found if m.name.startswith("archive/") and not m.name.endswith("/")]
+    for m in archives:
         if m.method:
             raise ValueError(f"{m.name} is deflated; records can only be read from stored members")
-        index = indexes.get("indexes")
-        if index is None or index.method or sum(x.name.startswith("archive/") for x in found) > 1:
-            if m.size:
-                yield m.begin, m.begin + m.size  # without an index of its own: the member as one run
-            continue
-        begin = end = 0
-        for line in _read(file, index.begin, index.size).decode().splitlines():
-            place = json.loads(line[line.index("{") :])
-            end = int(place["offset"]) + int(place["length"])
+    ends = _places(file, found, archives) if archives else {}
+    for m in archives:
+        begin = 0
+        for end in sorted(ends[m.name]):
             if end - begin >= most:
                 yield m.begin + begin, m.begin + end
                 begin = end
-        if end > begin:
-            yield m.begin + begin, m.begin + end
+        if m.size > begin:
+            yield m.begin + begin, m.begin + m.size
 
 
 def record_bytes(file: Any, begin: int, end: int) -> Iterator[bytes]:
@@ -277,26 +330,38 @@ def _headers(data: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def _page(value: str | None) -> int | None:
+    """The page's number, null if the record id is no page's."""
     number = (value or "").strip("<>").removeprefix(ID_PREFIX)
-    return int(number) if number else None
+    return int(number) if re.fullmatch("-?[0-9]{1,19}", number) and -(1 << 63) <= int(number) < 1 << 63 else None
 
 
-def parsed(data: bytes) -> tuple[int | None, str | None, int, str, str, int | None, bytes | None]:
+def _sha1(value: str | None) -> str | None:
+    """The SHA-1 digest of a header, in base 32 or 16, as hexadecimal digits; null if there is none."""
+    kind, _, digest = (value or "").partition(":")
+    if kind.lower() != "sha1":
+        return None
+    return digest.lower() if len(digest) == 40 else base64.b32decode(digest.upper()).hex()
+
+
+def parsed(data: bytes) -> tuple[int | None, str | None, int | None, str | None, str, int | None, bytes | None]:
     """(page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload).
 
-    A response's digest is taken anew from its payload and must be the one in its header.
+    The digest is taken anew from the payload; a response's must be the one in its header. A revisit's size and
+    digest are those that its headers state, if they do.
     """
     warc, block = _headers(data)
     block = block[: int(warc["content-length"])]
-    http, payload = _headers(block)
-    kind = warc["warc-type"]
-    digest = base64.b32decode(warc["warc-payload-digest"].partition(":")[2]).hex()
-    if kind == "response":
-        if hashlib.sha1(payload).hexdigest() != digest:
-            raise ValueError(f"{warc['warc-record-id']}: the payload does not have its digest")
-        size = len(payload)
+    kind = warc["warc-type"].lower()
+    is_http = kind in ("response", "revisit") and "content-type" not in warc or warc.get("content-type", "").lower().startswith("application/http")
+    http, payload = _headers(block) if is_http else ({}, block)
+    stated = _sha1(warc.get("warc-payload-digest"))
+    if kind == "revisit":
+        length = http.get("content-length", "")
+        size, digest, payload = int(length) if length.isdecimal() else None, stated, None
     else:
-        size, payload = int(http["content-length"]), None
+        size, digest = len(payload), hashlib.sha1(payload).hexdigest()
+        if kind == "response" and stated not in (None, digest):
+            raise ValueError(f"{warc['warc-record-id']}: the payload does not have its digest")
     return _page(warc["warc-record-id"]), warc.get("warc-target-uri"), size, digest, kind, _page(warc.get("warc-refers-to")), payload
 
 

@@ -130,3 +130,63 @@ def test_what_cannot_be_read_is_an_error():
     cut = wz.compressed(good)[:-9]
     with pytest.raises(ValueError, match="cut off"):
         list(wz.record_bytes(io.BytesIO(cut), 0, len(cut)))
+
+
+def foreign(names, listed, how="plain"):
+    """A package of one member a name with five records each; the index lists those of ``listed``, by URL key."""
+    import gzip
+    import json
+
+    sink, lines, n = io.BytesIO(), [], 0
+    with zipfile.ZipFile(sink, "w", zipfile.ZIP_STORED) as z:
+        for name in names:
+            at, out = 0, b""
+            for i in range(5):
+                data = wz.compressed(wz.record(n, "u", b"p%d" % n * (n + 1), hashlib.sha1(b"p%d" % n * (n + 1)).hexdigest(), None))
+                if i in listed:
+                    place = {"offset": str(at), "length": str(len(data)), "filename": name.rpartition("/")[2]}
+                    lines.append(f"com,example)/{n * 7 % 10} 2020 {json.dumps(place)}\n")
+                out, at, n = out + data, at + len(data), n + 1
+            z.writestr(name, out)
+        index = "".join(sorted(lines)).encode()
+        if how == "gzip":  # blocks, as a compressed index has them, and a list of the blocks that is no index
+            half = index.index(b"\n") + 1
+            z.writestr("indexes/index.cdx.gz", gzip.compress(index[:half]) + gzip.compress(index[half:]))
+            z.writestr("indexes/index.idx", b'com,example)/ 2020 {"offset": 0, "length": 9, "filename": "index.cdx.gz"}\n')
+        else:
+            z.writestr(wz.INDEX, index, zipfile.ZIP_DEFLATED if how == "deflated" else zipfile.ZIP_STORED)
+    return sink.getvalue()
+
+
+@pytest.mark.parametrize("how", ["plain", "deflated", "gzip"])
+@pytest.mark.parametrize("names", [["archive/a.warc.gz"], ["archive/a.warc.gz", "archive/b.warc.gz"]])
+@pytest.mark.parametrize("listed", [(0, 1, 2, 3, 4), (1, 2), (0, 3)])
+def test_indexes_in_any_order_and_form(names, listed, how):
+    data = foreign(names, listed, how)
+    file = io.BytesIO(data)
+    for most in (1, 300, 1 << 20):
+        runs = list(wz.ranges(file, len(data), most))
+        assert [wz.parsed(r)[0] for a, b in runs for r in wz.record_bytes(file, a, b)] == list(range(5 * len(names)))
+    assert len(list(wz.ranges(file, len(data), 1))) > 2 * len(names)
+
+
+def test_an_index_that_lists_too_much_is_an_error():
+    short = io.BytesIO()
+    with zipfile.ZipFile(short, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("archive/a.warc.gz", b"x" * 10)
+        z.writestr(wz.INDEX, '{"offset": 5, "length": 6}\n')
+    with pytest.raises(ValueError, match="lists a record"):
+        list(wz.ranges(short, len(short.getvalue())))
+
+
+def test_records_of_other_types():
+    def made(kind, block, *more, id="urn:uuid:8d1e3b5c-0000-4000-8000-000000000001"):
+        return "\r\n".join(["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <{id}>", *more, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
+
+    sha = lambda x: hashlib.sha1(x).hexdigest()
+    http = "Content-Type: application/http"
+    assert wz.parsed(made("warcinfo", b"software: x\r\n", "Content-Type: application/warc-fields")) == (None, None, 13, sha(b"software: x\r\n"), "warcinfo", None, b"software: x\r\n")
+    assert wz.parsed(made("request", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n", http, "WARC-Target-URI: u")) == (None, "u", 0, sha(b""), "request", None, b"")
+    assert wz.parsed(made("response", b"HTTP/1.1 200 OK\r\n\r\nabc", http, "WARC-Payload-Digest: sha256:00")) == (None, None, 3, sha(b"abc"), "response", None, b"abc")
+    assert wz.parsed(made("response", b"HTTP/1.1 200 OK\r\n\r\nabc", http, f"WARC-Payload-Digest: sha1:{sha(b'abc')}", id="urn:page:7"))[0] == 7
+    assert wz.parsed(made("revisit", b"", http, "WARC-Refers-To: <urn:uuid:1>")) == (None, None, None, None, "revisit", None, None)
