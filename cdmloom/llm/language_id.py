@@ -6,7 +6,7 @@ language with the smallest sum of sizes wins. Where the runner-up comes close, w
 ``margin`` of its size, the text is rejected.
 
 The dictionaries come from a bounded sample of labelled rows (``SAMPLE`` documents and
-``CONTENT`` bytes a language, chosen by a hash of the id); every text is classified whole.
+``CONTENT`` bytes a language, chosen by a hash of the text; of long texts a slice); every text is classified whole.
 The number of languages is taken to be small, as each costs one compression of every text.
 
 Defined results: a null text or one without a letter is ``und``, score 0, and rejected; so is
@@ -39,33 +39,37 @@ MARGIN = 0.005
 
 
 def learn(labelled: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, content: int = CONTENT) -> dict[str, bytes]:
-    """Each language's dictionary: whole texts in the order of a hash of their ids, as long as they fit.
+    """Each language's dictionary: distinct texts in the order of a hash of them, as long as they fit.
 
-    A text longer than an eighth of the dictionary is passed over, so that one document does not fill it.
+    Texts of up to an eighth of the dictionary come first and whole. Of longer ones, which are picked where there are
+    fewer short ones than ``sample``, a slice from the middle is taken, so that one document does not fill the
+    dictionary unless the language has no more; slices fill what the short texts leave.
     """
-    fit = F.octet_length(text).between(1, content // 8)
-    rows = labelled.select(F.col(lang).alias("lang"), F.col(id).alias("id"), F.col(text).alias("text")).where(F.col("lang").isNotNull() & fit)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    picked = rows.select("lang", "id").withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= sample)
-    chosen = [(r["lang"], r["id"], r["__rank"]) for r in picked.collect()]
-    if not chosen:
-        return {}
-    ids = sorted({i for _, i, _ in chosen if i is not None})
-    wanted = rows.where(F.col("id").isin(ids) if None not in {i for _, i, _ in chosen} else F.col("id").isin(ids) | F.col("id").isNull())
-    texts: dict[str, list[tuple[int, str]]] = {}
-    rank = {(a, b): c for a, b, c in chosen}
-    for r in wanted.collect():
-        if (r["lang"], r["id"]) in rank:
-            texts.setdefault(r["lang"], []).append((rank[r["lang"], r["id"]], r["text"]))
+    t = F.col("text")
+    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(F.col("lang").isNotNull() & (F.octet_length(t) > 0))
+    rows = rows.withColumn("long", F.octet_length(t) > content // 8).withColumn("h", F.xxhash64(t))
+    # Only hashes move; copies are one before the sample is taken.
+    order = Window.partitionBy("lang").orderBy("long", "h")
+    picked = rows.groupBy("lang", "long", "h").agg(F.count("*").alias("n")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
+    share = F.greatest(F.lit(content // 32), F.floor(content / F.sum(F.col("long").cast("int")).over(Window.partitionBy("lang")))).cast("int")
+    picked = picked.withColumn("share", F.when(F.col("long"), share)).select("lang", "h", "rank", "share")
+    begin = F.greatest(F.lit(0), F.floor((F.length(t) - F.col("share")) / 2)).cast("int")
+    part = F.when(F.col("share").isNull(), t).otherwise(F.substring(t, begin + 1, F.col("share")))
+    found = rows.join(F.broadcast(picked), ["lang", "h"]).groupBy("lang", "rank", "share").agg(F.first(part).alias("part")).collect()
+    texts: dict[str, list[tuple[int, int | None, str]]] = {}
+    for r in found:
+        texts.setdefault(r["lang"], []).append((r["rank"], r["share"], r["part"]))
     made = {}
-    for code, found in texts.items():
-        room, parts = content, []
-        for t in dict.fromkeys(t for _, t in sorted(found)):  # a copy adds nothing
-            part = t.lower().encode()
-            if len(part) < room:
-                parts.append(part)
-                room -= len(part) + 1
-        made[code] = b"\n".join(parts)
+    for code, parts in texts.items():
+        room, taken = content, {}  # a copy in other case adds nothing
+        for _, most, t in sorted(parts):
+            data = t.lower().encode()
+            if most is not None:
+                data = data[: max(0, min(most, room - 1))].decode(errors="ignore").encode()
+            if data and len(data) < room and data not in taken:
+                taken[data] = True
+                room -= len(data) + 1
+        made[code] = b"\n".join(taken)
     return made
 
 

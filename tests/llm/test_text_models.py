@@ -173,3 +173,18 @@ def test_held_out_perplexity_beats_unigrams(spark):
     out = lm.score(docs, lm.learn(docs, fold("doc_id", 7) != 2), keep=((fold("doc_id", 7) == 2).alias("held_out"),)).where("held_out")
     base, score = out.agg(F.sum("base_score"), F.sum("score")).first()
     assert score > base
+
+
+def test_languages_of_long_texts_or_many_copies(spark):
+    long = {"la": "gallia est omnis divisa in partes tres quarum unam incolunt belgae ", "fi": "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan "}
+    rows = [(i, " ".join(f"{t}{1000 * i + k}" for k in range(400)), code, None, 0) for i, (code, t) in enumerate(list(long.items()) * 3)]
+    # Copies that hold most of a language, and null ids alike; few are learned from, and no row of them is wanted twice.
+    rows += [(None if i % 2 else 50, samples.PROSE, "en", None, 0) for i in range(400)]
+    rows += [(1000 + i, f"number {i} of the english texts that are told apart", "en", None, 0) for i in range(20)]
+    docs = samples.documents(spark, rows)
+    dictionaries = li.learn(docs)
+    assert dictionaries.keys() == {"la", "fi", "en"}
+    assert all(li.CONTENT // 2 < len(dictionaries[c]) <= li.CONTENT for c in long)
+    assert dictionaries["en"].count(b"\n") == 20 and dictionaries["en"].count(samples.PROSE.encode()) == 1
+    got = {r["doc_id"]: r for r in li.identify(samples.documents(spark, [(i, t * 2, None, None, 0) for i, t in enumerate(long.values())]), dictionaries).collect()}
+    assert [got[i]["lang_pred"] for i in range(2)] == list(long) and not got[0]["rejected"]
