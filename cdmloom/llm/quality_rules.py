@@ -1,6 +1,6 @@
 """Quality rules: countable rules on words, and a classifier whose probability meets a fixed threshold.
 
-The classifier is a logistic regression over hashed n-grams of words (1 and 2) and of bytes in
+The classifier is a logistic regression over hashed n-grams of words (1 and 2) and of characters (code points) in
 words and between them (1 to 3). A feature is the share of its family's n-grams that fall in its
 bucket, so a text's score is a mean of weights over all its n-grams, whatever its length. It is
 fitted on a bounded sample of labelled rows (``SAMPLE``, by a hash of the id); a third of the
@@ -31,7 +31,7 @@ SAMPLE = 2000
 #: Buckets that all n-grams share; a power of two.
 BUCKETS = 1 << 16
 WORD_GRAMS = (1, 2)
-BYTE_GRAMS = (1, 2, 3)
+CHARACTER_GRAMS = (1, 2, 3)
 #: A text whose calibrated probability of good quality is lower is not kept.
 THRESHOLD = 0.35
 #: Base rules: words needed, and the share of repeated words in per cent that is too much.
@@ -95,13 +95,14 @@ def _buckets(hashes: np.ndarray, family: int, buckets: int) -> np.ndarray:
 def families(text: str, buckets: int = BUCKETS) -> Iterator[np.ndarray]:
     """The bucket of every n-gram, one array for each family."""
     raw = np.frombuffer(text.encode(), np.uint8)
-    data = raw.astype(np.uint32)
-    rolled = data
-    for n in BYTE_GRAMS:
-        if len(data) < n:
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    rolled = points
+    for n in CHARACTER_GRAMS:
+        if len(points) < n:
             break
-        rolled = data if n == 1 else rolled[:-1] * np.uint32(257) + data[n - 1 :]
+        rolled = points if n == 1 else rolled[:-1] * np.uint32(0x01000193) + points[n - 1 :]
         yield _buckets(rolled, n, buckets)
+    data = raw.astype(np.uint32)
     inside = _IN_WORD[raw]
     edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     begins, ends = edges[::2], edges[1::2]

@@ -188,3 +188,11 @@ def test_languages_of_long_texts_or_many_copies(spark):
     assert dictionaries["en"].count(b"\n") == 20 and dictionaries["en"].count(samples.PROSE.encode()) == 1
     got = {r["doc_id"]: r for r in li.identify(samples.documents(spark, [(i, t * 2, None, None, 0) for i, t in enumerate(long.values())]), dictionaries).collect()}
     assert [got[i]["lang_pred"] for i in range(2)] == list(long) and not got[0]["rejected"]
+
+
+@pytest.mark.parametrize("text", ["漢字仮名交じり文", "кириллица", "naïve 🙂", "plain"])
+def test_character_grams_are_of_code_points(text):
+    found = list(q.families(text))[:3]
+    assert [len(x) for x in found] == [len(text), len(text) - 1, len(text) - 2]
+    grams = [len({text[i : i + n] for i in range(len(text) - n + 1)}) for n in (1, 2, 3)]
+    assert [len(set(x.tolist())) for x in found] == grams
