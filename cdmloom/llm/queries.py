@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdmloom.llm import class_lm, jaccard_join, language_id, mixing, quality_rules, secret_scan, sentencepiece_codec, span_hashes, token_counts, vector_topk, warc_zip
+from cdmloom.llm import class_lm, jaccard_join, language_id, mixing, periodic_runs, quality_rules, secret_scan, sentencepiece_codec, span_hashes, token_counts, vector_topk, warc_zip
 from cdmloom.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,11 +68,15 @@ def op11_span_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return span_hashes.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(periodic_runs.with_planted_runs(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_source_mix, op3_sentencepiece, op4_quality_rules, op5_language, op6_secrets, op7_vector_topk, op8_class_lm, op9_warc_zip,
-        op10_jaccard_join, op11_span_fingerprints,
+        op10_jaccard_join, op11_span_fingerprints, op12_periodic_runs,
     )
 }
 
