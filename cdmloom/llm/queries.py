@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdmloom.llm import class_lm, jaccard_join, language_id, mixing, periodic_runs, quality_rules, secret_scan, sentencepiece_codec, span_hashes, token_counts, vector_topk, warc_zip
+from cdmloom.llm import class_lm, hard_negatives, jaccard_join, language_id, mixing, periodic_runs, quality_rules, secret_scan, sentencepiece_codec, span_hashes, token_counts, vector_topk, warc_zip
 from cdmloom.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,11 +72,16 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(periodic_runs.with_planted_runs(table(spark, sf_dir, "documents")))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_source_mix, op3_sentencepiece, op4_quality_rules, op5_language, op6_secrets, op7_vector_topk, op8_class_lm, op9_warc_zip,
-        op10_jaccard_join, op11_span_fingerprints, op12_periodic_runs,
+        op10_jaccard_join, op11_span_fingerprints, op12_periodic_runs, op13_hard_negatives,
     )
 }
 
@@ -96,6 +101,30 @@ scored as (
 select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as rank, vec_id, score
 from scored
 qualify row_number() over (partition by query_id order by score desc, vec_id) <= 10
+""",
+    "op13_hard_negatives": """
+with whole as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+),
+scored as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+         list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * c.v[i]))::bigint as score
+  from whole a join whole c on a.vec_id % 100 = 0 and c.vec_id <> a.vec_id and len(a.v) = len(c.v)
+),
+positives as (
+  select * from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, p.vec_id as positive_id,
+       (row_number() over (partition by p.anchor_id, p.vec_id order by n.score desc, n.vec_id))::int as rank,
+       n.vec_id as negative_id, p.score as positive_score, n.score as negative_score
+from positives p join scored n
+  on n.anchor_id = p.anchor_id and not n.same and 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score
+qualify row_number() over (partition by p.anchor_id, p.vec_id order by n.score desc, n.vec_id) <= 5
 """,
     "op9_warc_zip": """
 with payloads as (select page_id, coalesce(html, '') as payload from pages),
