@@ -106,10 +106,9 @@ def _extended(prefixes: Prefixes, place: np.ndarray, period: np.ndarray) -> tupl
 
 def _synchronised(prefixes: Prefixes, inside: np.ndarray, runs: _Runs, t: int) -> tuple[np.ndarray, np.ndarray]:
     """(place, distance) of selected places with equal contexts of t words; ``inside`` marks places with a whole context."""
-    begin = np.arange(len(inside))
     context = np.zeros(len(inside), np.uint64)
-    at = begin[inside]
-    context[at] = prefixes.spans(at, at + t)
+    for (begin, one), (_, two) in zip(prefixes.windows(0, t), prefixes.windows(1, t), strict=True):
+        context[begin : begin + len(one)] = (one << np.uint64(31)) | two
     open_ = inside.copy()
     # Contexts within a run of a small period are left out.
     small = (runs.period <= t // 3) & (runs.end - runs.start >= t)
@@ -307,5 +306,7 @@ def with_planted_runs(docs: DataFrame, id: str = "doc_id", text: str = "text") -
         p = 1 + F.floor((n - a) / (3 + g % 8))
         return F.array_join(F.transform(words, lambda w, i: F.get(words, F.when(i >= a, a + (i - a) % p).otherwise(i).cast("int"))), " ")
 
+    # Bound as a variable, so that the words are cut once and not once for each of them.
+    once = F.transform(F.array(words), planted)[0]
     chosen = (h % 10 == 0) & whole_text(text).rlike(WORD)
-    return docs.withColumn(text, F.when(chosen, planted(words)).otherwise(F.col(text)))
+    return docs.withColumn(text, F.when(chosen, once).otherwise(F.col(text)))
