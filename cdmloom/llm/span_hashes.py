@@ -25,7 +25,6 @@ an empty table gives no rows; only the id, a whole number, and the text are read
 from __future__ import annotations
 
 import hashlib
-import struct
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cache
@@ -43,7 +42,7 @@ BASES = (1_145_207_897, 2_023_406_814)
 #: Places that share a table of powers.
 BLOCK = 1 << 14
 #: Blocks worked on at once.
-SLAB = 64
+SLAB = 4
 #: Code points that decide on a cut, the lowest level of a cut, and the pieces of a fingerprint at most.
 WINDOW = 8
 LEVEL = 3
@@ -54,15 +53,22 @@ RANGES = 16_384
 #: Code points gathered before they are hashed together.
 BATCH_CHARS = 1 << 19
 
-_CUT = np.dtype([("place", ">u4"), ("level", "u1"), ("hash", ">u8")])
-_HEAD = struct.Struct(">IBQ")
+def _folded(x: np.ndarray) -> np.ndarray:
+    """x modulo 2^31 - 1 or a little more (2^31 + 2 at most), for unsigned x below 2^63."""
+    high = x >> 31
+    x = x & MODULUS
+    x += high
+    np.right_shift(x, 31, out=high)
+    x &= MODULUS
+    x += high
+    return x
 
 
 def _mod(x: np.ndarray) -> np.ndarray:
     """x modulo 2^31 - 1, for unsigned x below 2^63."""
-    x = (x & MODULUS) + (x >> 31)
-    x = (x & MODULUS) + (x >> 31)
-    return np.where(x >= MODULUS, x - MODULUS, x)
+    x = _folded(x)
+    x -= (x >= MODULUS).astype(np.uint64) * np.uint64(MODULUS)
+    return x
 
 
 @cache
@@ -92,7 +98,16 @@ def _power(k: int, lengths: np.ndarray) -> np.ndarray:
     far = lengths >> 14
     most = int(far.max(initial=0))
     near = _tables(k)[0][lengths & (BLOCK - 1)]
-    return near if most == 0 else _mod(near * _far(k, 1 << most.bit_length())[far])
+    return near if most == 0 else _folded(near * _far(k, 1 << most.bit_length())[far])
+
+
+@cache
+def _near(k: int) -> list[int]:
+    return _tables(k)[0].tolist()
+
+
+def _one_power(k: int, length: int) -> int:
+    return _near(k)[length] if length <= BLOCK else pow(BASES[k], length, MODULUS)
 
 
 class Prefixes:
@@ -110,8 +125,8 @@ class Prefixes:
             some = np.asarray(codes[begin : begin + SLAB * BLOCK], np.uint64)
             rows = -(-len(some) // BLOCK)
             some = np.pad(some, (0, rows * BLOCK - len(some))).reshape(rows, BLOCK)
-            local = _mod(np.cumsum(_mod(some * inverse[:BLOCK]), axis=1))
-            local = _mod(local * powers[:BLOCK])
+            local = _folded(np.cumsum(_folded(some * inverse[:BLOCK]), axis=1))
+            local = _folded(local * powers[:BLOCK])
             carries = []
             for last in local[:, -1].tolist():
                 carries.append(carry)
@@ -123,8 +138,15 @@ class Prefixes:
     def part(self, k: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of the spans [start, end) to one base."""
         at = self._at[k]
-        head = _mod(at[start].astype(np.uint64) * _power(k, np.asarray(end) - np.asarray(start)))
-        return _mod(at[end].astype(np.uint64) + (MODULUS - head))
+        head = _folded(at[start] * _power(k, np.asarray(end) - np.asarray(start)))
+        return _mod(at[end] + (np.uint64(2 * MODULUS) - head))
+
+    def windows(self, k: int, width: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Hashes of all spans of one width to one base, in stretches that begin at the place given."""
+        at, power, step = self._at[k], np.uint64(_one_power(k, width)), SLAB * BLOCK
+        for begin in range(0, self.size - width + 1, step):
+            end = min(begin + step, self.size - width + 1)
+            yield begin, _mod(at[begin + width : end + width] + (np.uint64(2 * MODULUS) - _folded(at[begin:end] * power)))
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hashes of the spans [start, end), of 62 bits. Equal spans have equal hashes."""
@@ -160,36 +182,30 @@ def laid_out(texts: Iterable[str]) -> tuple[Prefixes, np.ndarray]:
 
 
 class Fingerprint:
-    """Length, level, and the prefix hashes at cuts of one text."""
+    """Length, level, prefix hash of the whole, and the cuts (place, level, prefix hash) of one text."""
 
-    def __init__(self, size: int, level: int, whole: int, places: np.ndarray, levels: np.ndarray, hashes: np.ndarray) -> None:
-        self.size, self.level, self.whole = size, level, whole
-        self.places, self.levels, self.hashes = places, levels, hashes
+    def __init__(self, size: int, level: int, whole: int, cuts: list[tuple[int, int, int]]) -> None:
+        self.size, self.level, self.whole, self.cuts = size, level, whole, cuts
         self._pieces: dict[int, Counter] = {}
 
     def text(self) -> str:
-        cuts = np.empty(len(self.places), _CUT)
-        cuts["place"], cuts["level"], cuts["hash"] = self.places, self.levels, self.hashes
-        return (_HEAD.pack(self.size, self.level, self.whole) + cuts.tobytes()).hex()
+        return f"{self.size:08x}{self.level:02x}{self.whole:016x}" + "".join([f"{place:08x}{level:02x}{hash:016x}" for place, level, hash in self.cuts])
 
     @classmethod
     def of(cls, text: str) -> Fingerprint:
-        raw = bytes.fromhex(text)
-        cuts = np.frombuffer(raw[_HEAD.size :], _CUT)
-        return cls(*_HEAD.unpack(raw[: _HEAD.size]), cuts["place"].astype(np.int64), cuts["level"].astype(np.int64), cuts["hash"].astype(np.uint64))
+        (size, level, whole), *cuts = [(int(text[i : i + 8], 16), int(text[i + 8 : i + 10], 16), int(text[i + 10 : i + 26], 16)) for i in range(0, len(text), 26)]
+        return cls(size, level, whole, cuts)
 
     def pieces(self, level: int) -> Counter:
         """(hash, length) of the pieces between cuts of that level, with how often each occurs."""
         if level not in self._pieces:
-            kept = self.levels >= level
-            ends = np.concatenate([self.places[kept], [self.size]]).astype(np.int64)
-            sizes = np.diff(ends, prepend=0)
-            at = np.concatenate([np.zeros(1, np.uint64), self.hashes[kept].astype(np.uint64), np.array([self.whole], np.uint64)])
-            halves = []
-            for k, x in enumerate((at >> np.uint64(31), at & np.uint64(MODULUS))):
-                halves.append(_mod(x[1:] + (MODULUS - _mod(x[:-1] * _power(k, sizes)))))
-            hashes = (halves[0] << np.uint64(31)) | halves[1]
-            self._pieces[level] = Counter(zip(hashes.tolist(), sizes.tolist(), strict=True))
+            out, begin, one, two = [], 0, 0, 0
+            for place, high, hash in [*self.cuts, (self.size, level, self.whole)]:
+                if high >= level:
+                    size, a, b = place - begin, hash >> 31, hash & MODULUS
+                    out.append((((a - one * _one_power(0, size)) % MODULUS << 31) | ((b - two * _one_power(1, size)) % MODULUS), size))
+                    begin, one, two = place, a, b
+            self._pieces[level] = Counter(out)
         return self._pieces[level]
 
 
@@ -206,10 +222,12 @@ def likeness(a: Fingerprint, b: Fingerprint) -> float:
 
 def fingerprints_of(prefixes: Prefixes, starts: np.ndarray, pieces: int = PIECES) -> list[Fingerprint]:
     """A fingerprint for each text of a layout."""
-    begin = np.arange(max(0, prefixes.size - WINDOW + 1))
-    window = prefixes.part(0, begin, begin + WINDOW)
-    places = np.nonzero((window & np.uint64((1 << LEVEL) - 1)) == 0)[0]
-    found = window[places].astype(np.int64)
+    places, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for begin, window in prefixes.windows(0, WINDOW):
+        at = np.nonzero((window & np.uint64((1 << LEVEL) - 1)) == 0)[0]
+        places.append(at + begin)
+        found.append(window[at].astype(np.int64))
+    places, found = np.concatenate(places), np.concatenate(found)
     levels = np.where(found == 0, 31, np.round(np.log2(np.maximum(found & -found, 1)))).astype(np.int64)
     first = np.searchsorted(places, starts[:-1], "right")
     last = np.searchsorted(places, starts[1:] - WINDOW, "right")
@@ -226,13 +244,11 @@ def fingerprints_of(prefixes: Prefixes, starts: np.ndarray, pieces: int = PIECES
     picked = np.concatenate([np.zeros(0, np.int64), *[c for _, c in chosen]]).astype(np.int64)
     owner = np.repeat(np.arange(len(chosen)), [len(c) for _, c in chosen])
     cut = places[picked]
-    hashes = prefixes.spans(starts[owner], cut)
-    relative, cut_levels = cut - starts[owner], levels[picked]
-    ends = np.cumsum([len(c) for _, c in chosen])
-    out = []
-    for i, ((level, c), end) in enumerate(zip(chosen, ends, strict=True)):
-        here = slice(end - len(c), end)
-        out.append(Fingerprint(int(starts[i + 1] - starts[i]), level, whole[i], relative[here], cut_levels[here], hashes[here]))
+    cuts = list(zip((cut - starts[owner]).tolist(), levels[picked].tolist(), prefixes.spans(starts[owner], cut).tolist(), strict=True))
+    out, end = [], 0
+    for i, (level, c) in enumerate(chosen):
+        out.append(Fingerprint(int(starts[i + 1] - starts[i]), level, whole[i], cuts[end : end + len(c)]))
+        end += len(c)
     return out
 
 

@@ -80,7 +80,7 @@ def test_likeness_follows_what_is_shared():
 def test_fingerprints_are_bounded_and_read_back():
     for text in ("", "short", prose(30_000, 3), "a" * 100_000, samples.LONG):
         one = made(text)
-        assert len(one.places) < span_hashes.PIECES
+        assert len(one.cuts) < span_hashes.PIECES
         again = Fingerprint.of(one.text())
         assert again.text() == one.text() and likeness(one, again) == 1 and again.pieces(one.level + 1) == one.pieces(one.level + 1)
         assert sum(size * times for (_, size), times in one.pieces(one.level).items()) == len(text)
@@ -91,7 +91,7 @@ def test_pieces_hash_what_lies_between_cuts():
     prefixes, starts = laid_out(["before", text])
     one = fingerprints_of(prefixes, starts)[1]
     assert one.text() == made(text).text()
-    ends = [*one.places.tolist(), len(text)]
+    ends = [*[c[0] for c in one.cuts], len(text)]
     spans = [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
     assert one.pieces(one.level).total() == len(spans)
     assert {int(laid_out([s])[0].spans(np.array([0]), np.array([len(s)]))[0]) for s in spans} == {h for h, _ in one.pieces(one.level)}
