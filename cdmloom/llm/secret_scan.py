@@ -21,6 +21,8 @@ Spans are of the whole match, in code points, the end exclusive.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +40,8 @@ SHORT_ID = "A(?:KIA|SIA|GPA|IDA|ROA)[A-Z0-9]{8,}"
 # A name may follow an underscore, or begin with a capital within a word (dbUser).
 NAMED_ID = "(?i)(?:(?<![A-Za-z0-9])|(?-i:(?<=[a-z0-9])(?=[A-Z])))(?:user|username|login|account|client_?id|access_?key_?id)[\"']?\\x20*[:=]\\x20*[\"']?[A-Za-z0-9_.@-]{3,}"
 BASE64 = "[A-Za-z0-9+/_-]{32,}={0,2}"
-ENDPOINT = "(?i)(?<![A-Za-z0-9])[a-z][a-z0-9+.-]{1,12}://[^\\s\"'<>]{4,}|(?<![A-Za-z0-9])[a-z0-9][a-z0-9-]*(?:\\.[a-z0-9-]+)*\\.(?:amazonaws\\.com|windows\\.net|googleapis\\.com)\\b"
+# No group is repeated, as the matcher would take a stack frame for each turn, and a run of host characters is entered at its start only.
+ENDPOINT = "(?i)(?<![A-Za-z0-9])[a-z][a-z0-9+.-]{1,12}://[^\\s\"'<>]{4,}+|(?<![A-Za-z0-9.-])[a-z0-9.-]*\\.(?:amazonaws\\.com|windows\\.net|googleapis\\.com)\\b"
 
 #: Kinds in the order in which spans with the same start are listed.
 KINDS = ("assign", "access", "hex", "id", "secret", "endpoint")
@@ -47,30 +50,65 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 #: Code points between the parts of one credential, at most.
 SCOPE = 400
 
+#: Elements that are scanned by appending; parts into which a list of pieces is cut, on each of so many levels.
+CHUNK = 256
+BRANCH = 100
+LEVELS = 2
+
 SPAN = "struct<kind:string,start:int,end:int>"
 
 
-def spans(text: Column, pattern: str, kind: str, least: int = 0, group: int = 0) -> Column:
-    """Leftmost non-overlapping matches as (kind, start, end); ``group`` needs ``least`` characters.
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value bound to a variable, so that it is computed once however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _scanned(numbers: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running sums or maxima of an array of whole numbers from 0 up.
 
-    The text between matches is what ``split`` leaves, so places are running sums of lengths.
+    Appending copies an array, so chunks are scanned one by one, then the chunks' totals, and both are put together:
+    the work stays close to the length of the array, however long.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    tested = found if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    parts = F.arrays_zip(
-        F.transform(F.split(text, pattern, -1), lambda x: F.length(x)).alias("gap"),
-        F.transform(found, lambda x: F.length(x)).alias("size"),
-        F.transform(tested, lambda x: F.length(x)).alias("tested"),
-    )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
 
-    def step(state: Column, part: Column) -> Column:
-        begin = state["at"] + part["gap"]
-        end = begin + F.coalesce(part["size"], F.lit(0))
-        one = F.array(F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(part["tested"] >= least, F.concat(state["out"], one)).otherwise(state["out"]).alias("out"))
+    def appended(values: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        step = lambda state, x: _once(combine(state["at"], x), lambda at: F.struct(at.alias("at"), F.concat(state["out"], F.array(at)).alias("out")))
+        return F.aggregate(values, start, step)["out"]
+
+    def chunked(values: Column) -> Column:
+        places = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(values) - 1) / CHUNK).cast("int")))
+        return F.transform(places, lambda i: appended(F.slice(values, i * CHUNK + 1, F.lit(CHUNK))))
 
-    return F.when(text.rlike(pattern), F.aggregate(parts, start, step)["out"]).otherwise(F.array().cast(f"array<{SPAN}>"))
+    def joined(chunks: Column) -> Column:
+        totals = appended(F.transform(chunks, lambda c: F.coalesce(F.try_element_at(c, F.lit(-1)), F.lit(0))))
+        with_totals = lambda before: F.transform(
+            chunks, lambda c, i: F.when(i == 0, c).otherwise(F.transform(c, lambda x: combine(F.get(before, i - 1), x)))
+        )
+        return F.flatten(_once(totals, with_totals))
+
+    return _once(numbers, lambda values: _once(chunked(values), joined))
+
+
+def spans(text: Column, pattern: str, kind: str, least: int = 0, group: int = 0, test: Callable[[Column], Column] | None = None) -> Column:
+    """Leftmost non-overlapping matches as (kind, start, end); ``group`` needs ``least`` characters, the match must pass ``test``.
+
+    The text between matches is what ``split`` leaves, so places are running sums of lengths. A text is gone through a fixed number
+    of times, however long and however many its matches.
+    """
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    keep = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda x: F.length(x) >= least) if least else None
+    if test is not None:
+        keep = F.transform(found, test)
+    sizes = F.transform(found, lambda x: F.length(x))
+    # The last gap has no match behind it.
+    steps = F.zip_with(F.transform(F.split(text, pattern, -1), lambda x: F.length(x)), sizes, lambda gap, size: gap + size)
+    ends = _scanned(F.filter(steps, lambda x: x.isNotNull()), lambda a, b: a + b)
+    fields = [ends.alias("end"), sizes.alias("size")] + ([] if keep is None else [keep.alias("keep")])
+    rows = F.arrays_zip(*fields)
+    if keep is not None:
+        rows = F.filter(rows, lambda r: r["keep"])
+    made = F.transform(rows, lambda r: F.struct(F.lit(kind).alias("kind"), (r["end"] - r["size"]).alias("start"), r["end"].alias("end")))
+    return F.when(text.rlike(pattern), made).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def found_parts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -80,7 +118,7 @@ def found_parts(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     weak = F.concat(
         spans(t, SHORT_ID, "id"),
         spans(t, NAMED_ID, "id"),
-        F.filter(spans(t, BASE64, "secret"), lambda s: _mixed(F.substring(t, s["start"] + 1, s["end"] - s["start"]))),
+        spans(t, BASE64, "secret", test=_mixed),
         spans(t, ENDPOINT, "endpoint"),
     )
     rows = docs.select(F.col(id).alias("id"), whole_text(text).alias("text"))
@@ -101,6 +139,22 @@ def _mixed(s: Column) -> Column:
     return s.rlike("[A-Z]") & s.rlike("[a-z]") & s.rlike("[0-9]")
 
 
+def _outside(weak: Column, strong: Column) -> Column:
+    """The weak candidates less those that lie whole in one strong span, which are reported with it.
+
+    In the order of starts a candidate lies in a strong span if the furthest end of the strong ones so far reaches its end.
+    """
+    item = lambda s, rank: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))
+    items = F.array_sort(F.concat(F.transform(strong, lambda s: item(s, 0)), F.transform(weak, lambda s: item(s, 1))))
+
+    def open_(items: Column) -> Column:
+        reach = _scanned(F.transform(items, lambda x: F.when(x["rank"] == 0, x["end"]).otherwise(0)), lambda a, b: F.greatest(a, b))
+        kept = F.filter(F.zip_with(items, reach, lambda x, r: F.struct(x.alias("x"), r.alias("r"))), lambda y: (y["x"]["rank"] == 1) & (y["r"] < y["x"]["end"]))
+        return F.transform(kept, lambda y: F.struct(y["x"]["kind"].alias("kind"), y["x"]["start"].alias("start"), y["x"]["end"].alias("end")))
+
+    return _once(items, open_)
+
+
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """(id, h, linked): the weak candidates with complementary parts in scope, for the texts that have any."""
     texts = found.where(F.size("weak") > 0).select("id", "h", "assign", "access", "hex", "weak").dropDuplicates(["id", "h"])
@@ -108,9 +162,7 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     parts = texts.select("id", "h", F.explode(F.concat(strong, "weak")).alias("s")).select("id", "h", "s.*")
     role = F.when(F.col("kind").isin("access", "id"), "id").when(F.col("kind") == "endpoint", "endpoint").otherwise("secret")
     parts = parts.withColumn("role", role)
-    # What lies whole in one strong span is reported with it and no candidate of its own.
-    inside = lambda w: F.exists(strong, lambda s: (s["start"] <= w["start"]) & (w["end"] <= s["end"]))
-    weak = texts.select("id", "h", F.explode(F.filter("weak", lambda w: ~inside(w))).alias("s")).select("id", "h", "s.*")
+    weak = texts.select("id", "h", F.explode(_outside(F.col("weak"), strong)).alias("s")).select("id", "h", "s.*")
 
     def scopes(kind: str) -> DataFrame:
         """Each part's scope, once for each bin that it touches."""
@@ -174,14 +226,40 @@ def scan(docs: DataFrame, id: str = "doc_id", text: str = "text", scope: int = S
     )
 
 
+def _pieces_of(text: Column, begin: Column, pieces: Column, mask: str, level: int) -> Column:
+    """The pieces [start, end) of a text that begins at place ``begin``, each with ``mask`` behind it, as one text.
+
+    Cutting costs what lies before the cut, so a long list is cut into parts of the text first, and these again.
+    """
+    if level == 0:
+        cut = lambda p: F.concat(F.substring(text, p["start"] - begin + 1, p["end"] - p["start"]), F.lit(mask))
+        return F.array_join(F.transform(pieces, cut), "")
+    width = BRANCH**level
+
+    def part(i: Column) -> Column:
+        def inner(some: Column) -> Column:
+            first, last = F.get(some, F.lit(0))["start"], F.element_at(some, -1)["end"]
+            return _once(F.substring(text, first - begin + 1, last - first), lambda t: _pieces_of(t, first, some, mask, level - 1))
+
+        return _once(F.slice(pieces, i * width + 1, F.lit(width)), inner)
+
+    places = F.sequence(F.lit(0), F.floor((F.size(pieces) - 1) / width).cast("int"))
+    return F.when(F.size(pieces) == 0, F.lit("")).otherwise(F.array_join(F.transform(places, part), ""))
+
+
 def redacted(text: Column, found: Column, mask: str = "[REDACTED]") -> Column:
     """The text with every span, overlapping ones as one, replaced by ``mask``."""
     order = F.array_sort(F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(state: Column, s: Column) -> Column:
-        before = F.concat(state["out"], F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(mask))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(s["start"] >= state["at"], before).otherwise(state["out"]).alias("out"))
+    def cut(rows: Column) -> Column:
+        def kept(reach: Column) -> Column:
+            before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(reach, i - 1))
+            pieces = F.transform(rows, lambda s, i: F.struct(before(i).alias("start"), s["start"].alias("end")))
+            pieces = F.filter(pieces, lambda p: p["end"] >= p["start"])
+            tail = F.element_at(reach, -1)
+            body = _once(pieces, lambda p: _pieces_of(text, F.lit(0), p, mask, LEVELS))
+            return F.concat(body, F.substring(text, tail + 1, F.length(text) - tail))
+
+        return _once(_scanned(F.transform(rows, lambda s: s["end"]), lambda a, b: F.greatest(a, b)), kept)
 
-    done = F.aggregate(order, begin, step)
-    return F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text) - done["at"]))
+    return F.when(F.size(found) == 0, text).otherwise(_once(order, cut))
