@@ -2,10 +2,18 @@
 
 Each stage takes (spark, docs, sf_dir) and returns rows; all but the last keep the columns of
 ``documents``. Between stages the rows are written as Parquet in the shared folder and read again.
+
+Defined results: further columns, whatever their names, are carried along unchanged (the last stage leaves all but
+its own out); inside a stage they go by their position, so no name of theirs meets one of the stage's. A text that is null or
+without letters has no language and goes; of rows alike in id and text one stays as their class's document; an id may be
+null; a null ``source`` is a source of its own; texts of any length are masked, mixed and encoded whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +21,26 @@ from cdmloom.llm import jaccard_join, language_id, mixing, secret_scan, sentence
 from cdmloom.llm.common import fold, stored, table, whole_text
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Spans of findings, over all documents, that are broadcast at most; about 40 bytes each.
+BROADCAST_SPANS = 500_000
+
+
+def by_position(stage: Stage) -> Stage:
+    """The stage, with all columns that it does not know renamed while it works."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [c if c in COLUMNS else f"__kept_{i}" for i, c in enumerate(docs.columns)]
+        out = stage(spark, docs.toDF(*names), sf_dir)
+        return out.toDF(*docs.columns) if out.columns == names else out
+
+    return run
+
+
+@by_position
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is rejected go; the others get the language found in them."""
     dictionaries = language_id.learn(docs.where(fold("doc_id", 4) != 2))
@@ -21,16 +49,19 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.where(~F.col("rejected")).withColumnRenamed("lang_pred", "lang").select(docs.columns)
 
 
+@by_position
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays."""
     return jaccard_join.without_duplicates(docs)
 
 
+@by_position
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the texts that have any; lengths follow."""
     found = secret_scan.scan(docs).where(F.size("found") > 0)
     found = stored(found.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), F.col("found").alias("__found")).dropDuplicates(["__id", "__h"]), "findings")
-    found = F.broadcast(found) if found.count() <= jaccard_join.BROADCAST_IDS // 10 else found
+    rows, total = found.agg(F.count("*"), F.coalesce(F.sum(F.size("__found")), F.lit(0))).first()
+    found = F.broadcast(found) if rows + total <= BROADCAST_SPANS else found
     here = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(whole_text()) == F.col("__h"))
     text = F.when(F.col("__found").isNull(), F.col("text")).otherwise(secret_scan.redacted(F.col("text"), F.col("__found")))
     masked = docs.join(found, here, "left").withColumn("__text", text)
@@ -38,6 +69,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return masked.withColumn("n_chars", n_chars).withColumn("text", F.col("__text")).select(docs.columns)
 
 
+@by_position
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it. Documents alike in id and text share their copies."""
     plan = mixing.plan_mix(docs)
@@ -51,6 +83,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return taken.select(docs.columns)
 
 
+@by_position
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.digests(docs)
 
