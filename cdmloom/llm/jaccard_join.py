@@ -130,7 +130,10 @@ def signed(docs: DataFrame, id: str, text: str, n: int) -> DataFrame:
 
 def runs_needed(depth: int, recall: float = RECALL, threshold: float = THRESHOLD) -> int:
     """Runs after which a pair at the threshold, split ``depth`` times, shares a leaf with probability ``recall``."""
-    return min(TOKENS, max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold**depth))))
+    runs = max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold**depth)))
+    if runs > TOKENS:
+        raise ValueError(f"a recall of {recall} at similarity {threshold} takes {runs} runs of depth {depth}; signatures hold {TOKENS}")
+    return runs
 
 
 def _token(at: Column) -> Column:
@@ -391,7 +394,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, id: str, text: str, n: int) -> Dat
 
     ids = wanted.select("first_id").distinct()
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = docs.join(ids, F.col(id).cast("long").eqNullSafe(F.col("first_id")), "left_semi").select(whole_text(text).alias("text"))
+    rows = docs.select(F.col(id).cast("long").alias("id"), whole_text(text).alias("text"))
+    texts = rows.join(ids, F.col("id").eqNullSafe(F.col("first_id")), "left_semi").select("text")
     made = texts.mapInArrow(run, "key binary, shingles binary")
     return made.join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"])
 

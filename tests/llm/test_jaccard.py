@@ -122,3 +122,8 @@ def test_components(spark, edges):
         for a, b in edges:
             parent[a] = parent[b] = min(parent[a], parent[b])
     assert got == {k: v for k, v in parent.items() if k != v}
+
+
+def test_a_recall_out_of_reach_is_refused():
+    with pytest.raises(ValueError, match="takes"):
+        jj.runs_needed(5, threshold=0.5)

@@ -104,3 +104,29 @@ def test_queries_against_sql(spark, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_queries_give_a_row_for_each_document(spark, name):
     assert QUERIES[name](spark, samples.TABLES).count() == table(spark, samples.TABLES, "documents").count()
+
+
+def test_columns_of_any_name_are_carried_along(spark):
+    rows = [r for r in samples.ROWS if r[0] != 6]
+    plain = samples.documents(spark, rows)
+    docs = samples.clashing(plain)
+    docs = docs.select("*", *[docs["source"].alias(c) for c in samples.INTERNAL])
+    for name, stage in cp.STAGES:
+        one, other = stage(spark, plain, samples.TABLES), stage(spark, docs, samples.TABLES)
+        if name != "encoding":
+            assert other.columns == docs.columns
+            kept = other.select(*plain.columns, "first_id", "__kept_0").collect()
+            assert all((r["first_id"], r["__kept_0"]) == ("x", r["source"]) for r in kept)
+            other = other.select(*plain.columns)
+        assert samples.plain(one) == samples.plain(other)
+
+
+def test_empty_documents(spark):
+    docs = samples.documents(spark, [])
+    for _, stage in cp.STAGES:
+        assert stage(spark, docs, samples.TABLES).count() == 0
+
+
+def test_a_text_of_many_labels_passes_the_secret_stage(spark):
+    docs = samples.documents(spark, [(1, "a." * 1_000_000 + " token=abcdef1", "en", "a", 1)])
+    assert cp.secret_stage(spark, docs, samples.TABLES).collect()[0]["text"] == "a." * 1_000_000 + " [REDACTED]"
