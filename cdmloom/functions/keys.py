@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -10,8 +12,11 @@ from cdmloom.operators.durable import durable
 
 
 def key_text(*parts: str) -> str:
-    """SQL text joining ``parts`` with ``|``; a NULL part stays as an empty slot."""
-    slots = ", ".join(f"coalesce(cast({p} as string), '')" for p in parts)
+    """SQL text joining ``parts``, each behind its length in bytes, so that no two lists of parts give one text.
+
+    A NULL part is ``~``, which no length begins with.
+    """
+    slots = ", ".join(f"coalesce(concat(octet_length(cast({p} as string)), ':', cast({p} as string)), '~')" for p in parts)
     return f"concat_ws('|', {slots})"
 
 
@@ -25,6 +30,23 @@ def md5_key(*parts: str) -> str:
     return f"cast(conv(substring(md5({key_text(*parts)}), 1, 15), 16, 10) as bigint)"
 
 
+def wide_key(*parts: str) -> str:
+    """128-bit key as 32 hex digits."""
+    return f"md5({key_text(*parts)})"
+
+
+def natural_key(key: Callable[..., str], natural: Sequence[str], *resolved: str) -> str:
+    """``key`` over the parts that name a source row and those found for it; NULL where a part that names the row is."""
+    missing = " or ".join(f"{p} is null" for p in natural)
+    return f"case when {missing} then null else {key(*natural, *resolved)} end"
+
+
+def key_collisions(df: DataFrame, key: str, *parts: str) -> DataFrame:
+    """(key, rows, sources): values of a short key that stand for several lists of parts, told by their 128-bit keys."""
+    both = df.select(F.col(key).alias("key"), F.expr(wide_key(*parts)).alias("wide")).groupBy("key", "wide").agg(F.count(F.lit(1)).alias("rows"))
+    return both.groupBy("key").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("sources")).where("sources > 1 and key is not null")
+
+
 def row_number_key(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Consecutive numbers along a total order, without sorting everything in one task.
 

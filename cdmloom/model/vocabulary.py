@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
@@ -63,7 +64,8 @@ CROSSWALK_RELATIONSHIPS = ("Maps to", "Maps to unit", "Maps to value")
 class Vocabulary:
     """The vocabulary tables a lookup reads; ``crosswalk`` is the optional prepared form.
 
-    Lookups over a relationship the crosswalk was not made for read the tables.
+    Lookups over a relationship the crosswalk was not made for read the tables. ``sizes`` has, for a stored table, the
+    rows and the longest code of each of its groups: vocabularies, relationships, or both as ``relationship|vocabulary``.
     """
 
     concept: DataFrame
@@ -71,3 +73,4 @@ class Vocabulary:
     source_to_concept_map: DataFrame | None = None
     crosswalk: DataFrame | None = None
     crosswalk_relationships: tuple[str, ...] = CROSSWALK_RELATIONSHIPS
+    sizes: Mapping[str, Mapping[str, Sequence[int]]] = field(default_factory=dict)

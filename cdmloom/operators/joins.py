@@ -34,15 +34,15 @@ def join_type(name: str) -> str:
 def join_sources(
     frames: Mapping[str, DataFrame],
     joins: Sequence[Join] = (),
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
     fraction: float = 0.01,
 ) -> DataFrame:
     """Left fold of the aliased sources along ``joins``.
 
-    An inner or left join given by ``keys`` broadcasts the right side if it
-    measures small and otherwise spreads hot keys; so does a right or full one given
-    by ``keys`` alone. Other joins, and those with a SQL ``condition`` instead, are left to Catalyst and AQE. Only the type ``cross``
-    may come without any condition, whatever the sizes: naming it is the opt-in.
+    Inner and left joins are left to Catalyst, which broadcasts by file sizes, and to AQE, which splits skewed
+    partitions, unless ``broadcast_bytes`` is given: then those by ``keys`` measure the right side and spread hot keys beyond
+    that size. A right or full join by ``keys`` alone always does so, as the engine cannot split its hot keys. Only the type
+    ``cross`` may come without any condition, whatever the sizes: naming it is the opt-in.
     """
     for alias in [j.left for j in joins[:1]] + [j.right for j in joins]:
         if alias not in frames:
@@ -58,13 +58,14 @@ def join_sources(
         right = frames[j.right].alias(j.right)
         how = join_type(j.type)
         extra = F.expr(j.condition) if j.condition else None
-        if j.keys and how in ("inner", "left"):
+        if j.keys and how in ("inner", "left") and broadcast_bytes is not None:
             pairs = [(F.expr(a), F.expr(b)) for a, b in j.keys]
             out = attach(out, right, pairs, how, broadcast_bytes, extra, fraction, rows_first=True)
             continue
         if j.keys and extra is None and how in ("right", "outer"):
             pairs = [(F.expr(a), F.expr(b)) for a, b in j.keys]
-            out = attach_keeping_right(out, right, pairs, how, broadcast_bytes, fraction)
+            limit = BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes
+            out = attach_keeping_right(out, right, pairs, how, limit, fraction)
             continue
         on = extra
         for a, b in j.keys:

@@ -13,7 +13,6 @@ from cdmloom.operators.expectations import apply_expectations, observe_rules, ob
 from cdmloom.operators.joins import join_sources
 from cdmloom.operators.lookups import apply_lookups
 from cdmloom.operators.projection import append_lookup_targets, map_columns
-from cdmloom.operators.spread import BROADCAST_BYTES
 from cdmloom.sources.tables import read_sources, write_target
 
 
@@ -21,7 +20,7 @@ def project_table(
     spec: TableSpec,
     frames: Mapping[str, DataFrame],
     vocab: Vocabulary,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
     fraction: float = 0.01,
 ) -> DataFrame:
     """Join, resolve and project; row expectations not applied yet."""
@@ -37,7 +36,7 @@ def build_table(
     spec: TableSpec,
     frames: Mapping[str, DataFrame],
     vocab: Vocabulary,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
     fraction: float = 0.01,
 ) -> DataFrame:
     """The target table: join, resolve, project, check rows."""

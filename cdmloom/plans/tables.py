@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdmloom.functions.keys import hash_key
+from cdmloom.functions.keys import hash_key, natural_key
 from cdmloom.functions.values import EHR_RECORD
 from cdmloom.model.spec import (
     BY_CONCEPT,
@@ -193,8 +193,8 @@ def condition_occurrence(style: Style = Style()) -> TableSpec:
         "condition_occurrence",
         {"dx": "encounter_diagnosis", "enc": "encounter"},
         _columns(
-            condition_occurrence_id=style.key(
-                "dx.encounter_id", "dx.line", "dx.diagnosis_code", "condition_concept_id"
+            condition_occurrence_id=natural_key(
+                style.key, ("dx.encounter_id", "dx.line"), "dx.diagnosis_code", "condition_concept_id"
             ),
             person_id="cast(enc.patient_id as bigint)",
             condition_start_date="cast(dx.diagnosis_datetime as date)",
@@ -219,8 +219,8 @@ def observation(style: Style = Style()) -> TableSpec:
         "observation",
         {"dx": "encounter_diagnosis", "enc": "encounter"},
         _columns(
-            observation_id=style.key(
-                "dx.encounter_id", "dx.line", "dx.diagnosis_code", "observation_concept_id"
+            observation_id=natural_key(
+                style.key, ("dx.encounter_id", "dx.line"), "dx.diagnosis_code", "observation_concept_id"
             ),
             person_id="cast(enc.patient_id as bigint)",
             observation_date="cast(dx.diagnosis_datetime as date)",
@@ -243,8 +243,8 @@ def procedure_occurrence(style: Style = Style(vocabulary_id="CPT4")) -> TableSpe
         "procedure_occurrence",
         {"po": "procedure_order", "enc": "encounter"},
         _columns(
-            procedure_occurrence_id=style.key(
-                "po.encounter_id", "po.order_line", "po.procedure_code", "procedure_concept_id"
+            procedure_occurrence_id=natural_key(
+                style.key, ("po.encounter_id", "po.order_line"), "po.procedure_code", "procedure_concept_id"
             ),
             person_id="cast(enc.patient_id as bigint)",
             procedure_date="cast(po.order_datetime as date)",
@@ -267,8 +267,8 @@ def drug_exposure(style: Style = Style(vocabulary_id="NDC")) -> TableSpec:
         "drug_exposure",
         {"mo": "medication_order", "enc": "encounter"},
         _columns(
-            drug_exposure_id=style.key(
-                "mo.encounter_id", "mo.order_line", "mo.medication_code", "drug_concept_id"
+            drug_exposure_id=natural_key(
+                style.key, ("mo.encounter_id", "mo.order_line"), "mo.medication_code", "drug_concept_id"
             ),
             person_id="cast(enc.patient_id as bigint)",
             drug_exposure_start_date="cast(mo.order_datetime as date)",
@@ -301,7 +301,7 @@ def measurement(style: Style = Style(vocabulary_id="LOINC")) -> TableSpec:
         "measurement",
         {"ms": "clinical_measurement", "enc": "encounter"},
         _columns(
-            measurement_id=style.key("ms.measurement_id", "measurement_concept_id", "unit_concept_id"),
+            measurement_id=natural_key(style.key, ("ms.measurement_id",), "measurement_concept_id", "unit_concept_id"),
             person_id="cast(enc.patient_id as bigint)",
             measurement_date="cast(ms.measurement_datetime as date)",
             measurement_datetime="cast(ms.measurement_datetime as timestamp)",
@@ -344,7 +344,7 @@ def location(style: Style = Style()) -> TableSpec:
         "location",
         {"loc": "patient_zip"},
         _columns(
-            location_id=style.key("loc.zip_code"),
+            location_id=natural_key(style.key, ("loc.zip_code",)),
             zip="cast(loc.zip_code as string)",
             location_source_value=_kept("loc.zip_code"),
         ),

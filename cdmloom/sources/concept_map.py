@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cdmloom.functions.values import blank_to_null, compact_date
 from cdmloom.model.vocabulary import CONCEPT_MAP, CONCEPT_MAP_KEY
-from cdmloom.sources.tables import read_target, write_target
+from cdmloom.sources.tables import StaleVersion, commits, read_target, write_target
 
 MAP_COLUMNS = tuple(CONCEPT_MAP.names)
 
@@ -53,9 +53,18 @@ def upsert_concept_map(current: DataFrame, seed: DataFrame) -> DataFrame:
     )
 
 
-def store_upsert(spark: SparkSession, seed: DataFrame, path: str) -> DataFrame:
-    """Upsert ``seed`` into the map stored at ``path``; the result is its next version."""
-    return write_target(upsert_concept_map(read_target(spark, path), seed), path)
+def store_upsert(spark: SparkSession, seed: DataFrame, path: str, tries: int = 5) -> DataFrame:
+    """Upsert ``seed`` into the map stored at ``path``; the result is its next version.
+
+    If another writer commits meanwhile, the seed goes into that writer's map, so that no upsert is lost.
+    """
+    for _ in range(tries):
+        base = commits(spark, path)[-1]
+        try:
+            return write_target(upsert_concept_map(read_target(spark, path, number=base), seed), path, base=base)
+        except StaleVersion:
+            continue
+    raise StaleVersion(f"{path}: other writers were first {tries} times")
 
 
 def write_draft_map(draft: DataFrame, path: str) -> None:

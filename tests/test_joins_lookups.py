@@ -1,3 +1,7 @@
+import re
+import uuid
+from dataclasses import replace
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -7,8 +11,9 @@ from cdmloom.model.spec import BY_CONCEPT, BY_MAP, BY_RELATIONSHIP, ColumnMap, J
 from cdmloom.model.vocabulary import Vocabulary
 from cdmloom.operators.durable import scratch_path
 from cdmloom.operators.joins import join_sources
-from cdmloom.operators.lookups import apply_lookups, write_crosswalk
+from cdmloom.operators.lookups import MAPPING_ROW, apply_lookups, lookup_targets, mapping_bytes, write_crosswalk
 from cdmloom.operators.projection import append_lookup_targets, map_columns
+from cdmloom.operators.replacements import replacement_closure, with_final_replacements
 from cdmloom.operators.spread import (
     attach,
     fits_broadcast,
@@ -16,6 +21,9 @@ from cdmloom.operators.spread import (
     measured_bytes,
     spread_join,
 )
+from cdmloom.plans import tables
+from cdmloom.plans.build import build_table
+from cdmloom.sources.vocabulary_files import store_vocabulary, stored_vocabulary
 from tests.conftest import rows
 
 
@@ -280,3 +288,105 @@ def test_a_clustered_hot_key_is_shared_by_many_tasks(shuffled, how):
     placed = out.filter("v is not null").select(F.spark_partition_id().alias("task"), "v").collect()
     assert sorted(r["v"] for r in placed) == list(range(3000))
     assert len({r["task"] for r in placed}) > 2
+
+
+# Planning
+
+
+class Jobs:
+    """Jobs that Spark starts while the block runs."""
+
+    def __init__(self, spark):
+        self.sc = spark.sparkContext
+
+    def __enter__(self):
+        self.group = uuid.uuid4().hex
+        self.sc.setJobGroup(self.group, "counted")
+        return self
+
+    def __exit__(self, *_):
+        self.count = len(self.sc.statusTracker().getJobIdsForGroup(self.group))
+        self.sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.fixture(scope="module")
+def stored(spark, vocab, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("vocabulary"))
+    store_vocabulary({"concept": vocab.concept, "concept_relationship": vocab.concept_relationship, "source_to_concept_map": vocab.source_to_concept_map}, folder)
+    return stored_vocabulary(spark, folder)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_job_runs_while_a_table_is_planned(spark, stored):
+    spec = tables.measurement(tables.Style(vocabulary_id="LOC"))
+    ms = spark.createDataFrame([(1, 1, 1, "A", "1.5", None)], "measurement_id INT, encounter_id INT, patient_id INT, measurement_name STRING, measurement_value STRING, measurement_datetime TIMESTAMP")
+    enc = spark.createDataFrame([(1, 5, None, None, "x", 1)], "encounter_id INT, patient_id INT, admit_datetime TIMESTAMP, discharge_date DATE, encounter_type STRING, provider_id INT")
+    for known in (stored, replace(stored, sizes={})):
+        with Jobs(spark) as jobs:
+            out = build_table(spec, {"ms": ms, "enc": enc}, known)
+        assert jobs.count == 0
+        assert out.count() == 1
+
+
+def test_sizes_bound_the_mapping(stored):
+    source = Lookup("f", "code", "s", BY_CONCEPT, vocabulary_id="LOC", domain_id="Condition")
+    race = Lookup("f", "code", "r", source_vocabulary_id="Race")
+    row = MAPPING_ROW
+    assert mapping_bytes(stored, [source]) == 7 * (row + 2)
+    assert mapping_bytes(stored, [race]) == 4 * (row + 6)
+    assert mapping_bytes(stored, [MAPPED]) == 9 * (row + 2)
+    assert mapping_bytes(stored, [source, race]) == 7 * (row + 2) + 4 * (row + 6)
+    assert mapping_bytes(replace(stored, sizes={}), [source]) is None
+    assert mapping_bytes(stored, [Lookup("f", "code", "s", BY_CONCEPT, vocabulary_id="none", domain_id="x")]) == 0
+
+
+def test_a_mapping_of_known_size_is_broadcast_and_facts_are_read_once(spark, stored, tmp_path):
+    spark.createDataFrame([("A", "w"), ("B", None), ("zz", "stale")], "code STRING, race STRING").write.parquet(f"{tmp_path}/facts")
+    facts = spark.read.parquet(f"{tmp_path}/facts").alias("f")
+    race = Lookup("f", "race", "race_id", source_vocabulary_id="Race")
+    scans = {}
+    for name, known in (("sizes", stored), ("codes", replace(stored, sizes={}))):
+        out = apply_lookups(facts, [MAPPED, race], known)
+        assert sorted(map(tuple, out.select("code", MAPPED.target_column, "race_id").collect())) == [("A", 101, 101), ("B", 101, 0), ("B", 102, 0), ("zz", 0, 0)]
+        out.collect()
+        plan = _plan(out).split("Initial Plan")[0]
+        scans[name] = len(re.findall(r"Scan parquet[^\n]*race", plan))
+        if name == "sizes":
+            assert "SortMergeJoin" not in plan.split("BroadcastExchange")[0]
+    assert scans == {"sizes": 1, "codes": 2}
+
+
+def test_codes_first_looks_up_no_other_code(spark, vocab):
+    facts = spark.createDataFrame([("A",), ("A",), ("zz",), (None,)], "code STRING").alias("f")
+    codes = facts.select(F.concat(F.lit("0:"), "code").alias("__code")).where("__code is not null").distinct()
+    found = lookup_targets(vocab, MAPPED, (codes, 0))
+    assert {r["code"] for r in found.collect()} == {"A"}
+    assert rows(apply_lookups(facts, [MAPPED], vocab)) == rows(apply_lookups(facts, [MAPPED], vocab, broadcast_bytes=1 << 20))
+
+
+# Replacements
+
+
+def test_replacements_are_followed_to_their_end(spark, vocab):
+    pairs = [(i, i + 1) for i in range(1, 6)] + [(20, 21), (21, 22), (22, 20), (19, 20), (30, 30), (40, 42), (40, 41), (42, 43)]
+    edges = spark.createDataFrame([(a, b, "Concept replaced by", None) for a, b in pairs] + [(6, 7, "Concept replaced by", "D")], vocab.concept_relationship.schema)
+    got = {r["concept_id"]: tuple(r)[1:] for r in replacement_closure(edges).collect()}
+    assert got == {
+        **{i: (6, 6 - i, False) for i in range(1, 6)}, **{i: (None, None, True) for i in (19, 20, 21, 22, 30)}, 40: (41, 1, False), 42: (43, 1, False),
+    }
+    assert replacement_closure(edges.limit(0)).count() == 0
+
+
+def test_a_lookup_takes_the_end_of_a_chain(spark, vocab):
+    more = spark.createDataFrame([(7, 5, "Concept replaced by", None), (5, 103, "Concept replaced by", None)], vocab.concept_relationship.schema)
+    rest = vocab.concept_relationship.where("concept_id_1 <> 7")
+    chained = with_final_replacements(replace(vocab, concept_relationship=rest.unionByName(more)))
+    lookup = Lookup(
+        "f", "code", "new_id", BY_RELATIONSHIP, vocabulary_id="LOC", domain_id="Observation",
+        relationship_id="Concept replaced by", source_invalid_reason="U",
+    )
+    facts = spark.createDataFrame([("U1",), ("A",)], "code STRING").alias("f")
+    assert rows(apply_lookups(facts, [lookup], chained)) == [("A", 0), ("U1", 103)]

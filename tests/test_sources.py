@@ -1,17 +1,18 @@
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from cdmloom.functions import values
-from cdmloom.functions.keys import hash_key, md5_key, row_number_key
+from cdmloom.functions.keys import hash_key, key_collisions, md5_key, natural_key, row_number_key, wide_key
 from cdmloom.model.spec import Rule, Rules, Source
 from cdmloom.model.vocabulary import VOCABULARY_TABLES
 from cdmloom.operators import profiling
 from cdmloom.operators.expectations import expectation_metrics
 from cdmloom.plans.build import store_with_metrics
 from cdmloom.sources import concept_map, vocabulary_files
-from cdmloom.sources.tables import read_sources, read_target, write_target
+from cdmloom.sources.tables import StaleVersion, commits, held, read_sources, read_target, remove_versions, write_target
 from tests.conftest import rows
 
 HEADER = "\t".join(VOCABULARY_TABLES["concept"].names)
@@ -34,8 +35,8 @@ def test_vocabulary_files(spark, tmp_path):
     assert tables["domain"].count() == 0  # its file is missing
     assert tables["vocabulary"].schema == VOCABULARY_TABLES["vocabulary"]
     report = {r["table_name"]: tuple(r)[1:] for r in vocabulary_files.load_report(spark, str(tmp_path)).collect()}
-    assert report.pop("concept") == ("OK", 3, 1)
-    assert len(report) == len(VOCABULARY_TABLES) - 1 and set(report.values()) == {("SKIP", 0, 0)}
+    assert report.pop("concept") == ("OK", 3, 1, 0, 0)
+    assert len(report) == len(VOCABULARY_TABLES) - 1 and set(report.values()) == {("SKIP", 0, 0, 0, 0)}
     with pytest.raises(RuntimeError, match="concept_relationship"):
         vocabulary_files.require_non_empty(tables)
     assert rows(vocabulary_files.require_non_empty(tables, ["concept"])) == [("concept", 3)]
@@ -183,3 +184,82 @@ def test_profiles(spark):
     assert rows(profiling.join_fanout_check(df, ["k"], other, ["j"])) == [
         ("many", 1, 2, 4), ("none", 1, 1, 1), ("one", 1, 1, 1),
     ]
+
+
+# Versions
+
+
+def test_two_writers_both_stay_in_order(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda n: write_target(spark.range(n), path), range(1, 9)))
+    assert commits(spark, path) == list(range(8))
+    assert sorted(read_target(spark, path, number=n).count() for n in range(8)) == list(range(1, 9))
+
+
+def test_upserts_at_one_time_are_both_kept(spark, seed, tmp_path):
+    path = f"{tmp_path}/map"
+    write_target(seed.limit(0), path)
+    parts = [seed.where(F.col("source_code") == r[0]) for r in seed.select("source_code").distinct().collect()][:3]
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda part: concept_map.store_upsert(spark, part, path), parts))
+    assert read_target(spark, path).count() == sum(p.count() for p in parts)
+
+
+def test_a_writer_that_read_an_old_version_is_told(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    write_target(spark.range(1), path)
+    write_target(spark.range(2), path, base=0)
+    with pytest.raises(StaleVersion):
+        write_target(spark.range(3), path, base=0)
+    assert read_target(spark, path).count() == 2
+
+
+def test_old_versions_go_unless_they_are_read(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for n in range(1, 6):
+        write_target(spark.range(n), path)
+    assert remove_versions(spark, path) == []  # none is old enough
+    with held(spark, path) as df:
+        write_target(spark.range(9), path)
+        assert remove_versions(spark, path, keep=1, older_than=0) == [0, 1, 2, 3]
+        assert df.count() == 5
+    assert remove_versions(spark, path, keep=1, older_than=0) == [4]
+    assert commits(spark, path) == [5] and read_target(spark, path).count() == 9
+    assert write_target(spark.range(4), path).count() == 4 and commits(spark, path) == [5, 6]
+    with pytest.raises(ValueError):
+        remove_versions(spark, path, keep=0)
+
+
+def test_lines_that_do_not_fit_go_to_quarantine(spark, tmp_path):
+    header = "concept_id\tconcept_synonym_name\tlanguage_concept_id\n"
+    (tmp_path / "CONCEPT_SYNONYM.csv").write_text(header + '1\tfine "\t5\n2\tcut\n3\ttoo\t5\tmuch\n\n4\t\t5\n')
+    table = vocabulary_files.load_vocabulary(spark, str(tmp_path))["concept_synonym"]
+    assert [r["concept_id"] for r in table.orderBy("concept_id").collect()] == [1, 4]
+    assert table.select("concept_id").count() == table.count() == 2
+    assert rows(vocabulary_files.quarantined_lines(spark, str(tmp_path))) == [
+        ("concept_synonym", "long", "3\ttoo\t5\tmuch"), ("concept_synonym", "short", "2\tcut"),
+    ]
+    report = {r["table_name"]: tuple(r)[1:] for r in vocabulary_files.load_report(spark, str(tmp_path)).collect()}
+    assert report["concept_synonym"] == ("OK", 2, 0, 1, 1)
+    assert report["domain"] == ("SKIP", 0, 0, 0, 0)
+
+
+# Keys
+
+
+def test_keys_tell_all_lists_of_parts_apart(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("", None), (None, ""), ("1:a", "b"), ("a", "1:b"), ("~", None)], "x STRING, y STRING")
+    for key in (hash_key, md5_key, wide_key):
+        assert df.select(F.expr(key("x", "y"))).distinct().count() == 7
+
+
+def test_a_key_is_null_where_a_part_that_names_the_row_is(spark):
+    df = spark.createDataFrame([(1, 2, None), (1, None, "a")], "x INT, y INT, z STRING")
+    got = df.select("y", F.expr(natural_key(hash_key, ("x", "y"), "z")).alias("k")).collect()
+    assert [(r["y"] is None, r["k"] is None) for r in got] == [(False, False), (True, True)]
+
+
+def test_colliding_keys_are_found(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c"), (None, "d")], "k INT, p STRING")
+    assert rows(key_collisions(df, "k", "p")) == [(1, 2, 2)]

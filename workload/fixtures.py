@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cdmloom.model.vocabulary import Vocabulary
 from cdmloom.operators.durable import scratch_path
 from cdmloom.operators.spread import configure
-from cdmloom.sources.vocabulary_files import store_vocabulary
+from cdmloom.sources.vocabulary_files import store_vocabulary, stored_sizes
 
 # Bronze tables large enough to be spread over all cores before a table is built from them.
 FACTS = ("encounter_diagnosis", "procedure_order", "medication_order")
@@ -356,6 +356,14 @@ CONCEPT_CPT4 = _concept(
     "'licensed ' || p_name", "'Procedure'", "'CPT4'", "'C' || cast(p_partkey as string)",
 )
 
+# Chains of up to five replacements, a cycle of three, and a chain that leads into the cycle.
+REPLACEMENT_EDGES = _edge(
+    "p_partkey",
+    "case when p_partkey % 60 = 33 then p_partkey - 2 when p_partkey % 60 = 29 then p_partkey + 2 else p_partkey + 1 end",
+    "case when p_partkey % 6 = 0 then 'Is a' else 'Concept replaced by' end",
+    "case when p_partkey % 47 = 0 then 'D' end",
+)
+
 FIXTURES: dict[str, tuple[Part, ...]] = {
     "patient": (PATIENT,),
     "patient_identifier": (PATIENT_IDENTIFIER,),
@@ -371,6 +379,7 @@ FIXTURES: dict[str, tuple[Part, ...]] = {
     "concept_after": concept(after=True),
     "concept_relationship": concept_relationship(),
     "concept_relationship_after": concept_relationship(after=True),
+    "replacement_edges": (REPLACEMENT_EDGES,),
     "source_to_concept_map": SOURCE_TO_CONCEPT_MAP,
     "seed_map": (SEED_MAP,),
     "concept_cpt4": (CONCEPT_CPT4,),
@@ -391,6 +400,7 @@ LOADED = {
     "source_to_concept_map": "source_to_concept_map",
 }
 _STORED: dict[tuple[str, str, str], DataFrame] = {}
+_PATHS: dict[tuple[str, str, str], str] = {}
 
 
 def _balanced(df: DataFrame) -> DataFrame:
@@ -432,18 +442,22 @@ class Data:
         def load() -> DataFrame:
             table = LOADED[name]
             folder = scratch_path(self.spark, f"vocabulary-{name}")
+            _PATHS[self.spark.sparkContext.applicationId, self.sf_dir, name] = f"{folder}/{table}"
             return store_vocabulary({table: self.derive(name)}, folder)[table]
 
         return self.stored(name, load)
 
+    def _vocabulary(self, suffix: str) -> Vocabulary:
+        names = (f"concept{suffix}", f"concept_relationship{suffix}", "source_to_concept_map")
+        frames = [self[n] for n in names]
+        here = (self.spark.sparkContext.applicationId, self.sf_dir)
+        paths = {LOADED[n]: _PATHS[*here, n] for n in names}
+        return Vocabulary(*frames, sizes=stored_sizes(self.spark, paths))
+
     @cached_property
     def vocab(self) -> Vocabulary:
-        return Vocabulary(
-            self["concept"], self["concept_relationship"], self["source_to_concept_map"]
-        )
+        return self._vocabulary("")
 
     @cached_property
     def vocab_after(self) -> Vocabulary:
-        return Vocabulary(
-            self["concept_after"], self["concept_relationship_after"], self["source_to_concept_map"]
-        )
+        return self._vocabulary("_after")

@@ -36,7 +36,7 @@ def oracle(name: str, body: str, **extra: str) -> None:
 
 
 def md5_key(*parts: str) -> str:
-    slots = ", ".join(f"coalesce(cast({p} as varchar), '')" for p in parts)
+    slots = ", ".join(f"coalesce(cast(strlen(cast({p} as varchar)) as varchar) || ':' || cast({p} as varchar), '~')" for p in parts)
     return f"cast('0x' || substr(md5(concat_ws('|', {slots})), 1, 15) as bigint)"
 
 
@@ -78,12 +78,21 @@ oracle("load_vocabulary", "select * from concept")
 oracle(
     "load_report",
     """select 'concept' as table_name, 'OK' as status, count(*) as row_count,
-        cast(0 as bigint) as bad_values from concept
-    union all select 'concept_relationship', 'OK', count(*), 0 from concept_relationship
-    union all select t, 'SKIP', 0, 0 from (values ('vocabulary'), ('domain'), ('concept_class'),
+        cast(0 as bigint) as bad_values, count(*) filter (concept_id % 10 = 3) as short_lines,
+        count(*) filter (concept_id % 10 = 7) as long_lines from concept
+    union all select 'concept_relationship', 'OK', count(*), 0, 0, 0 from concept_relationship
+    union all select t, 'SKIP', 0, 0, 0, 0 from (values ('vocabulary'), ('domain'), ('concept_class'),
         ('relationship'), ('concept_synonym'), ('concept_ancestor'), ('drug_strength'),
         ('concept_cpt4')) as v(t)""",
 )
+oracle(
+    "quarantined_lines",
+    """select 'concept' as table_name, 'short' as kind, cast(concept_id as varchar) || chr(9) || concept_name as line
+    from concept where concept_id % 10 = 3
+    union all select 'concept', 'long', array_to_string([cast(concept_id as varchar), concept_name, domain_id, vocabulary_id,
+        concept_class_id, 'S', concept_code, valid_start_date, valid_end_date, 'D', 'more'], chr(9))
+    from concept where concept_id % 10 = 7""",
+)
 oracle(
     "cast_to_schema",
     """select cast(measurement_id as int) as concept_id_1,
@@ -192,12 +201,23 @@ oracle(
     from encounter_diagnosis
     left join {direct('SRC', 'Condition', False)} m on m.code = diagnosis_code""",
 )
-for _name in ("lookup_mapped", "lookup_mapped_spread", "lookup_mapped_crosswalk"):
+for _name in ("lookup_mapped", "lookup_mapped_spread", "lookup_mapped_crosswalk", "lookup_mapped_by_codes"):
     oracle(
         _name,
         f"""select encounter_id, line, diagnosis_code, coalesce(m.target, 0) as condition_concept_id
         from encounter_diagnosis left join {hop('Condition')} m on m.code = diagnosis_code""",
     )
+oracle(
+    "replacement_closure",
+    """select * from (with recursive step as (
+        select concept_id_1 as a, min(concept_id_2) as b from replacement_edges
+        where relationship_id = 'Concept replaced by' and invalid_reason is null group by 1),
+    walk as (select a, b, 1 as hops from step
+        union all select w.a, s.b, hops + 1 from walk w join step s on s.a = w.b where hops < 60),
+    final as (select * from walk w where not exists (select 1 from step s where s.a = w.b))
+    select s.a as concept_id, f.b as final_concept_id, cast(f.hops as int) as hops, f.a is null as cyclic
+    from step s left join final f on f.a = s.a)""",
+)
 oracle(
     "lookup_unit",
     f"""select measurement_id, measurement_name, coalesce(m.target, 0) as unit_concept_id

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,7 @@ from cdmloom.model.spec import (
 )
 from cdmloom.model.vocabulary import CONCEPT_MAP, VOCABULARY_TABLES, Vocabulary
 from cdmloom.operators import codes, concepts, conformance, coverage, drafting, eras
-from cdmloom.operators import expectations, profiling, refresh
+from cdmloom.operators import expectations, profiling, refresh, replacements
 from cdmloom.operators.durable import scratch_path
 from cdmloom.operators.joins import join_sources
 from cdmloom.operators.lookups import apply_lookups, write_crosswalk
@@ -63,6 +64,16 @@ def _stored_vocabulary(data: Data) -> str:
         data[table].write.option("header", True).option("sep", "\t").option("quote", "").csv(
             f"{folder}/{table.upper()}.csv"
         )
+    # Lines with fields missing, and with one too many, as a file that was cut or edited by hand has them.
+    rows = data["concept"]
+    last = [F.lit(x) for x in ("S", "D", "more")]
+    short = rows.where("concept_id % 10 = 3").select(F.concat_ws("\t", "concept_id", "concept_name").alias("line"))
+    names = ("concept_id", "concept_name", "domain_id", "vocabulary_id", "concept_class_id")
+    more = rows.where("concept_id % 10 = 7").select(
+        F.concat_ws("\t", *names, last[0], "concept_code", "valid_start_date", "valid_end_date", *last[1:]).alias("line")
+    )
+    lines = short.unionByName(more).toDF("\t".join(rows.columns))
+    lines.write.mode("append").option("header", True).option("sep", "\x01").option("quote", "").csv(f"{folder}/CONCEPT.csv")
     return folder
 
 
@@ -76,6 +87,11 @@ def load_report(data: Data) -> DataFrame:
     return vocabulary_files.load_report(data.spark, _stored_vocabulary(data))
 
 
+@query
+def quarantined_lines(data: Data) -> DataFrame:
+    return vocabulary_files.quarantined_lines(data.spark, _stored_vocabulary(data))
+
+
 @query
 def cast_to_schema(data: Data) -> DataFrame:
     text = data["clinical_measurement"].select(
@@ -298,8 +314,15 @@ def lookup_mapped_spread(data: Data) -> DataFrame:
 @query
 def lookup_mapped_crosswalk(data: Data) -> DataFrame:
     """The same lookup from the prepared crosswalk."""
-    prepared = write_crosswalk(data.vocab, scratch_path(data.spark, "crosswalk"))
-    return _mapped(data, Vocabulary(data["concept"], crosswalk=prepared))
+    path = scratch_path(data.spark, "crosswalk")
+    prepared = write_crosswalk(data.vocab, path)
+    return _mapped(data, Vocabulary(data["concept"], crosswalk=prepared, sizes=vocabulary_files.stored_sizes(data.spark, {"crosswalk": path})))
+
+
+@query
+def lookup_mapped_by_codes(data: Data) -> DataFrame:
+    """The same lookup from a vocabulary of unknown size: the codes that occur come first."""
+    return _mapped(data, replace(data.vocab, sizes={}))
 
 
 def _by_relationship(data: Data, relationship: str, domain: str, target: str) -> DataFrame:
@@ -332,6 +355,11 @@ def lookup_replacement(data: Data) -> DataFrame:
     return out.select("item_id", "brand_code", "replacement_concept_id")
 
 
+@query
+def replacement_closure(data: Data) -> DataFrame:
+    return replacements.replacement_closure(data["replacement_edges"])
+
+
 @query
 def lookup_standard_and_source(data: Data) -> DataFrame:
     out = apply_lookups(data["encounter_diagnosis"].alias("dx"), [MAPPED, SOURCE_ID], data.vocab)
