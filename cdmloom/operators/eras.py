@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cdmloom.functions.keys import hash_key
 from cdmloom.functions.values import EHR_RECORD
+from cdmloom.operators.ingredients import at_ingredients, daily_doses
 
 # Fixed value: exposures at most this many days apart belong to one era.
 ERA_GAP_DAYS = 30
@@ -92,8 +93,16 @@ def condition_era(
 
 
 def drug_era(
-    exposures: DataFrame, gap_days: int = ERA_GAP_DAYS, keep_unmapped: bool = False, key=hash_key
+    exposures: DataFrame,
+    gap_days: int = ERA_GAP_DAYS,
+    keep_unmapped: bool = False,
+    key=hash_key,
+    ingredients: DataFrame | None = None,
+    keep_products: bool = False,
 ) -> DataFrame:
+    """Periods of one drug of one person: by ingredient where ``ingredients`` tells them, else by product."""
+    if ingredients is not None:
+        exposures = at_ingredients(exposures, ingredients, keep_products)
     eras = islands(
         _known(exposures, "drug_concept_id", keep_unmapped),
         ["person_id", "drug_concept_id"],
@@ -113,9 +122,18 @@ def drug_era(
 
 
 def dose_era(
-    exposures: DataFrame, gap_days: int = ERA_GAP_DAYS, keep_unmapped: bool = False, key=hash_key
+    exposures: DataFrame,
+    gap_days: int = ERA_GAP_DAYS,
+    keep_unmapped: bool = False,
+    key=hash_key,
+    drug_strength: DataFrame | None = None,
 ) -> DataFrame:
-    """Eras of one drug at one dose; needs ``unit_concept_id`` and ``dose_value`` columns."""
+    """Eras of one drug at one dose, by ingredient and daily dose where ``drug_strength`` is given.
+
+    Else the exposures need ``unit_concept_id`` and ``dose_value`` columns.
+    """
+    if drug_strength is not None:
+        exposures = daily_doses(exposures, drug_strength)
     keys = ["person_id", "drug_concept_id", "unit_concept_id", "dose_value"]
     eras = islands(
         _known(exposures, "drug_concept_id", keep_unmapped).filter(F.col("dose_value").isNotNull()),

@@ -364,6 +364,64 @@ REPLACEMENT_EDGES = _edge(
     "case when p_partkey % 47 = 0 then 'D' end",
 )
 
+# Ingredients (one of them no longer standard, one invalid) and a drug class above them.
+_STD = f"2000000 + {_BRAND}"
+INGREDIENT_CONCEPT = _concept(
+    "part", "8000000 + p_size % 8", "'ingredient ' || cast(p_size % 8 as string)", "'Drug'", "'RxNorm'",
+    "'I' || cast(p_size % 8 as string)", kind="case when p_size % 8 = 7 then 'Drug Class' else 'Ingredient' end",
+    standard="case when p_size % 8 <> 6 then 'S' end", invalid="case when p_size % 8 = 5 then 'D' end", distinct=True,
+)
+
+
+def _above(ancestor: str, descendant: str, levels: int) -> Part:
+    columns = {
+        "ancestor_concept_id": f"cast({ancestor} as int)",
+        "descendant_concept_id": f"cast({descendant} as int)",
+        "min_levels_of_separation": f"{levels}",
+        "max_levels_of_separation": f"{levels}",
+    }
+    return Part("part", columns, distinct=True)
+
+
+# Brands have one ingredient, every third of them two; some only ones that do not count, all are in the class.
+CONCEPT_ANCESTOR = (
+    _above(f"case when {_BRAND} = 52 then 8000005 else 8000000 + {_BRAND} % 2 end", _STD, 2),
+    _above(f"case when {_BRAND} % 3 = 1 and {_BRAND} <> 52 then 8000002 else 8000006 end", _STD, 3),
+    _above("8000007", _STD, 4),
+    _above("8000000 + p_size % 8", "8000000 + p_size % 8", 0),
+)
+
+
+def _strength(ingredient: str, where: str, amount="null", unit="8576", numerator="null", below="null", below_unit="8587", invalid="cast(null as string)") -> Part:
+    return Part(
+        "part",
+        {
+            "drug_concept_id": f"cast(case when {where} then {_STD} end as int)",
+            "ingredient_concept_id": f"cast({ingredient} as int)",
+            "amount_value": f"cast({amount} as double)",
+            "amount_unit_concept_id": f"cast({unit} as int)",
+            "numerator_value": f"cast({numerator} as double)",
+            "numerator_unit_concept_id": f"cast({unit} as int)",
+            "denominator_value": f"cast({below} as double)",
+            "denominator_unit_concept_id": f"cast({below_unit} as int)",
+            "box_size": "cast(null as int)",
+            "valid_start_date": "'19700101'",
+            "valid_end_date": "'20991231'",
+            "invalid_reason": invalid,
+        },
+        distinct=True,
+    )
+
+
+# Amounts, concentrations and hourly releases; also second and outdated strengths of the same pair.
+DRUG_STRENGTH = (
+    _strength(f"8000000 + {_BRAND} % 2", f"{_BRAND} not in (32, 52)", amount=f"{_BRAND} * 5"),
+    _strength("8000000", f"{_BRAND} = 32", numerator="10", below="4"),
+    _strength("8000002", f"{_BRAND} % 3 = 1", numerator="25", unit="9655", below="2", below_unit="8505"),
+    _strength("8000002", f"{_BRAND} % 3 = 1", numerator="99", unit="9655", below_unit="8505"),
+    _strength("8000002", f"{_BRAND} % 3 = 1", amount="1", unit="1", invalid="'D'"),
+)
+
 FIXTURES: dict[str, tuple[Part, ...]] = {
     "patient": (PATIENT,),
     "patient_identifier": (PATIENT_IDENTIFIER,),
@@ -380,6 +438,9 @@ FIXTURES: dict[str, tuple[Part, ...]] = {
     "concept_relationship": concept_relationship(),
     "concept_relationship_after": concept_relationship(after=True),
     "replacement_edges": (REPLACEMENT_EDGES,),
+    "ingredient_concept": (INGREDIENT_CONCEPT,),
+    "concept_ancestor": CONCEPT_ANCESTOR,
+    "drug_strength": DRUG_STRENGTH,
     "source_to_concept_map": SOURCE_TO_CONCEPT_MAP,
     "seed_map": (SEED_MAP,),
     "concept_cpt4": (CONCEPT_CPT4,),

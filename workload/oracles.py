@@ -749,6 +749,38 @@ oracle(
         'drug_exposure_end_date')})""",
     **TABLES,
 )
+_INGREDIENT = """(select a.descendant_concept_id as drug, a.ancestor_concept_id as ingredient
+    from concept_ancestor a join ingredient_concept i on i.concept_id = a.ancestor_concept_id
+    where i.concept_class_id = 'Ingredient' and i.standard_concept = 'S' and i.invalid_reason is null)"""
+_BY_INGREDIENT = f"""(select x.* replace (cast(coalesce(m.ingredient, x.drug_concept_id) as int) as drug_concept_id)
+    from t_drug_exposure x left join {_INGREDIENT} m on m.drug = x.drug_concept_id where x.drug_concept_id <> 0)"""
+oracle(
+    "drug_era_by_ingredient",
+    f"""select {md5_key('person_id', 'drug_concept_id', 'first_day')} as drug_era_id, person_id,
+        drug_concept_id, first_day as drug_era_start_date, last_day as drug_era_end_date,
+        cast(n as int) as drug_exposure_count, gap as gap_days
+    from ({era(_BY_INGREDIENT, ['person_id', 'drug_concept_id'], 'drug_exposure_start_date', 'drug_exposure_end_date')})""",
+    **TABLES,
+)
+_STRENGTH = """(select *, row_number() over (partition by drug, ingredient order by unit, amount) as place from (
+    select drug_concept_id as drug, ingredient_concept_id as ingredient,
+        amount_value is null and coalesce(denominator_unit_concept_id = 8505, false) as hourly,
+        coalesce(amount_value, numerator_value / coalesce(denominator_value, 1)) as amount,
+        case when amount_value is null then numerator_unit_concept_id else amount_unit_concept_id end as unit
+    from drug_strength where invalid_reason is null and coalesce(amount_value, numerator_value) is not null))"""
+_DOSED = f"""(select x.person_id, m.ingredient as drug_concept_id, m.unit as unit_concept_id,
+        x.drug_exposure_start_date, x.drug_exposure_end_date,
+        case when m.hourly then 24 * m.amount else cast(x.quantity as double) * m.amount
+            / (case when x.provider_id is null then 1 else 1 << (cast(x.quantity as int) % 3) end) end as dose_value
+    from t_drug_exposure x join {_STRENGTH} m on m.drug = x.drug_concept_id and m.place = 1)"""
+oracle(
+    "dose_era_by_strength",
+    f"""select {md5_key('person_id', 'drug_concept_id', 'unit_concept_id', 'cast(dose_value * 64 as bigint)', 'first_day')}
+            as dose_era_id,
+        {', '.join(_DOSE_KEYS)}, first_day as dose_era_start_date, last_day as dose_era_end_date
+    from ({era(_DOSED, _DOSE_KEYS, 'drug_exposure_start_date', 'drug_exposure_end_date')})""",
+    **TABLES,
+)
 oracle(
     "build_table",
     f"""select {md5_key('item_id', 'm.target')} as drug_exposure_id, brand_code as drug_source_value,

@@ -25,7 +25,7 @@ from cdmloom.model.spec import (
 )
 from cdmloom.model.vocabulary import CONCEPT_MAP, VOCABULARY_TABLES, Vocabulary
 from cdmloom.operators import codes, concepts, conformance, coverage, drafting, eras
-from cdmloom.operators import expectations, profiling, refresh, replacements
+from cdmloom.operators import expectations, ingredients, profiling, refresh, replacements
 from cdmloom.operators.durable import scratch_path
 from cdmloom.operators.joins import join_sources
 from cdmloom.operators.lookups import apply_lookups, write_crosswalk
@@ -769,6 +769,26 @@ def _dose_key(*parts: str) -> str:
     return md5_key(*["cast(dose_value as int)" if p == "dose_value" else p for p in parts])
 
 
+@query
+def drug_era_by_ingredient(data: Data) -> DataFrame:
+    """Exposures followed to their ingredients through the closure; drugs without one stay as products."""
+    found = ingredients.ingredients_of(data["ingredient_concept"], data["concept_ancestor"])
+    return eras.drug_era(_stored(data, "drug_exposure"), key=md5_key, ingredients=found, keep_products=True)
+
+
+def _dose_by_64(*parts: str) -> str:
+    """Key over the dose in whole 64ths, whose text is the same in every engine."""
+    return md5_key(*["cast(dose_value * 64 as bigint)" if p == "dose_value" else p for p in parts])
+
+
+@query
+def dose_era_by_strength(data: Data) -> DataFrame:
+    """Daily doses of ingredients from quantity, strength and days of supply."""
+    supplied = F.expr("case when provider_id is not null then 1 << (cast(quantity as int) % 3) end")
+    exposures = _stored(data, "drug_exposure").withColumn("days_supply", supplied)
+    return eras.dose_era(exposures, key=_dose_by_64, drug_strength=data["drug_strength"])
+
+
 @query
 def build_table_query(data: Data) -> DataFrame:
     """From stored source to stored target by a spec: local formulary codes to drug exposures."""
