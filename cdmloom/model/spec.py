@@ -26,6 +26,8 @@ class Join:
 
     ``condition`` is a SQL predicate over the aliases. ``keys`` are pairs of
     equal expressions (left, right); giving them lets the join spread hot keys.
+    ``between`` is (point, begin, end): an expression over the left and two over the
+    right that must enclose it, joined over bins in place of a comparison of all pairs.
     """
 
     left: str
@@ -33,6 +35,11 @@ class Join:
     condition: str = ""
     type: str = "inner"
     keys: tuple[tuple[str, str], ...] = ()
+    between: tuple[str, ...] = ()
+
+    def __post_init__(self) -> None:
+        if self.between and len(self.between) != 3:
+            raise ValueError(f"join with {self.right!r}: between takes a point, a begin and an end")
 
 
 @dataclass(frozen=True)

@@ -338,21 +338,54 @@ def finding_counts(found: DataFrame) -> DataFrame:
     return found.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-def layer_summary(found: DataFrame) -> DataFrame:
-    """Per table and layer: findings by status, and whether the layer failed.
+def _expected_columns(spec: Mapping[str, Sequence[Column]]) -> list[tuple[str, int, int]]:
+    """How many columns each layer is to look at."""
+    out = []
+    for table, columns in spec.items():
+        concepts = [c for c in columns if c.name.endswith("_concept_id")]
+        wanted = (columns, [c for c in columns if c.pk], concepts, [c for c in concepts if c.domain], [c for c in columns if c.required])
+        out += [(table, layer, len(some)) for layer, some in zip(LAYERS, wanted)]
+    return out
 
-    Layer 1 fails on extra columns too, although those are only warnings.
-    """
 
-    named = {"FAIL": "failed", "WARN": "warned", "SKIP": "skipped", "PASS": "passed"}
-    return (
+def layer_summary(
+    found: DataFrame,
+    tables: Mapping[str, DataFrame | None] | None = None,
+    spec: Mapping[str, Sequence[Column]] = CDM,
+) -> DataFrame:
+    """Per table and layer: findings by status, columns by what became of them, and whether the layer failed.
+
+    Of the columns the spec expects of a layer some are checked, the others skipped because layer 1 misses them;
+    ``failed_columns`` counts columns with a failure, for layer 2 the key as one. ``missing_columns``, ``mistyped_columns``,
+    ``extra_columns`` and ``aligned_columns`` belong to layer 1. ``table_rows`` needs the ``tables``
+    and is NULL for one that was not given. Layer 1 fails on extra columns too, although those are only warnings.
+    """
+    spark = found.sparkSession
+    status, check = F.col("status"), F.col("check")
+    counts = {n: status == s for s, n in {"FAIL": "failed", "WARN": "warned", "SKIP": "skipped", "PASS": "passed"}.items()}
+    counts |= {f"{n}_columns": check.startswith(f"schema:{k}:") for n, k in {"missing": "missing", "mistyped": "type", "extra": "extra"}.items()}
+    of_column = check.contains(":")
+    counts["failed_columns"] = (status == "FAIL") & of_column & (check != "schema:table_missing")
+    counts["__gone"] = (status == "SKIP") & of_column
+    counts["__no_table"] = (status == "SKIP") & (check == "not_null")
+    expected = spark.createDataFrame(_expected_columns(spec), "table_name STRING, layer INT, expected_columns INT")
+    n, missing, mistyped = (F.col(f"{c}_columns") for c in ("expected", "missing", "mistyped"))
+    first = F.col("layer") == 1
+    out = (
         found.groupBy("table_name", "layer")
-        .agg(*[F.count_if(F.col("status") == s).alias(n) for s, n in named.items()])
-        .withColumn(
-            "layer_failed",
-            (F.col("failed") > 0) | ((F.col("layer") == 1) & (F.col("warned") > 0)),
-        )
+        .agg(*[F.count_if(when).alias(name) for name, when in counts.items()])
+        .join(F.broadcast(expected), ["table_name", "layer"])
+        .withColumn("skipped_columns", F.when(F.col("__no_table") > 0, n).when(first, missing).otherwise(F.col("__gone")))
+        .withColumn("checked_columns", n - F.col("skipped_columns"))
+        .withColumn("aligned_columns", F.when(first, n - missing - mistyped))
+        .withColumn("layer_failed", (F.col("failed") > 0) | (first & (F.col("warned") > 0)))
+        .drop("__gone", "__no_table")
     )
+    given = {t: df for t, df in (tables or {}).items() if df is not None}
+    if not given:
+        return out.withColumn("table_rows", F.lit(None).cast("bigint"))
+    rows = _union([df.agg(F.count(F.lit(1)).alias("table_rows")).withColumn("table_name", F.lit(t)) for t, df in given.items()])
+    return out.join(F.broadcast(rows), "table_name", "left")
 
 
 def gate_on_findings(found: DataFrame, path: str | None = None) -> DataFrame:

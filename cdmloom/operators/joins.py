@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdmloom.model.spec import Join
+from cdmloom.operators.ranges import range_join
 from cdmloom.operators.spread import BROADCAST_BYTES, attach, attach_keeping_right
 
 # Accepted names of join types.
@@ -42,7 +43,8 @@ def join_sources(
     Inner and left joins are left to Catalyst, which broadcasts by file sizes, and to AQE, which splits skewed
     partitions, unless ``broadcast_bytes`` is given: then those by ``keys`` measure the right side and spread hot keys beyond
     that size. A right or full join by ``keys`` alone always does so, as the engine cannot split its hot keys. Only the type
-    ``cross`` may come without any condition, whatever the sizes: naming it is the opt-in.
+    ``cross`` may come without any condition, whatever the sizes: naming it is the opt-in. A join with ``between``, inner or
+    left, is an equal join over bins of dates or numbers.
     """
     for alias in [j.left for j in joins[:1]] + [j.right for j in joins]:
         if alias not in frames:
@@ -58,6 +60,10 @@ def join_sources(
         right = frames[j.right].alias(j.right)
         how = join_type(j.type)
         extra = F.expr(j.condition) if j.condition else None
+        if j.between:
+            pairs = [(F.expr(a), F.expr(b)) for a, b in j.keys]
+            out = range_join(out, right, tuple(j.between), pairs, how, extra)
+            continue
         if j.keys and how in ("inner", "left") and broadcast_bytes is not None:
             pairs = [(F.expr(a), F.expr(b)) for a, b in j.keys]
             out = attach(out, right, pairs, how, broadcast_bytes, extra, fraction, rows_first=True)

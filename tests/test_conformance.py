@@ -144,3 +144,18 @@ def test_references_between_tables(spark, death):
 def test_standard_rate(death, vocab):
     got = rows(conformance.standard_rate(death, ["cause_concept_id"], vocab.concept))
     assert got == [("cause_concept_id", 2, 1, 0.5)]
+
+
+def test_layer_counts_of_columns(spark, death, vocab):
+    out = conformance.findings(spark, {"death": death, "specimen": None}, vocab.concept)
+    counts = conformance.layer_summary(out, {"death": death, "specimen": None})
+    got = {(r["table_name"], r["layer"]): r for r in counts.collect()}
+    for layer in conformance.LAYERS:
+        none = got["specimen", layer]
+        assert (none["checked_columns"], none["table_rows"]) == (0, None)
+        some = got["death", layer]
+        assert some["expected_columns"] == some["checked_columns"] + some["skipped_columns"]
+        assert some["table_rows"] == death.count()
+    assert got["specimen", 1]["missing_columns"] == got["specimen", 1]["expected_columns"] == 15
+    assert got["specimen", 1]["aligned_columns"] == 0 and got["specimen", 5]["aligned_columns"] is None
+    assert all(r["table_rows"] is None for r in conformance.layer_summary(out).collect())

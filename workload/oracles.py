@@ -424,6 +424,17 @@ oracle(
           group by e.encounter_id) group by 1""",
 )
 
+oracle(
+    "join_between",
+    """select * from (with stays as (select encounter_id, patient_id, cast(admit_datetime as date) as first_day, discharge_date as last_day from encounter),
+    moved as (select measurement_id, patient_id,
+        cast(measurement_datetime as date) - cast(measurement_id % 9000 as int) as day from clinical_measurement)
+    select m.measurement_id, m.day, e.encounter_id as own_stay, w.encounter_id as other_stay
+    from moved m
+    left join stays e on e.patient_id = m.patient_id and m.day between e.first_day and e.last_day
+    join stays w on w.encounter_id % 97 = m.measurement_id % 97 and m.day between w.first_day and w.last_day)""",
+)
+
 # Drafting and coverage
 
 oracle(
@@ -1031,16 +1042,37 @@ for _layer, _name in (
     (2, "check_primary_key"), (3, "check_concept_fk"), (4, "check_domain"), (5, "check_not_null"),
 ):
     oracle(_name, f"select * from ({_FAULTY_ALL}) where layer = {_layer}", **_FAULTY)
+WHOLE = TABLES | {f"w_{t}": whole(t, f"t_{t}") for t in BUILDS}
+# Columns of the standard per layer: all, key, concepts, concepts with a domain, required.
+_EXPECTED = """(values ('condition_occurrence', 16, 1, 4, 3, 5), ('visit_occurrence', 17, 1, 5, 4, 6),
+    ('specimen', 15, 1, 5, 4, 5)) t(table_name, n1, n2, n3, n4, n5)"""
+_SOUND = _row("visit_occurrence", 1, "PASS", "schema", _OK) + " union all " + validation("visit_occurrence", "w_visit_occurrence")
 oracle(
     "layer_summary",
-    f"""select *, failed > 0 or (layer = 1 and warned > 0) as layer_failed from (
-        select table_name, layer, count(*) filter (status = 'FAIL') as failed,
+    f"""select * from (with found as ({_FAULTY_ALL} union all {_SOUND} union all {missing_table("specimen")}),
+    layers as (select table_name, layer, [n1, n2, n3, n4, n5][layer] as expected
+        from {_EXPECTED}, (select unnest([1, 2, 3, 4, 5]) as layer)),
+    counted as (select table_name, layer, count(*) filter (status = 'FAIL') as failed,
             count(*) filter (status = 'WARN') as warned, count(*) filter (status = 'SKIP') as skipped,
-            count(*) filter (status = 'PASS') as passed
-        from ({_FAULTY_ALL}) group by table_name, layer)""",
+            count(*) filter (status = 'PASS') as passed,
+            count(*) filter ("check" like 'schema:missing:%') as missing_columns,
+            count(*) filter ("check" like 'schema:type:%') as mistyped_columns,
+            count(*) filter ("check" like 'schema:extra:%') as extra_columns,
+            count(*) filter (status = 'SKIP' and "check" like '%:%') as gone,
+            bool_or("check" = 'not_null' and status = 'SKIP') as no_table,
+            count(*) filter (status = 'FAIL' and "check" like '%:%' and "check" <> 'schema:table_missing') as failed_columns
+        from found group by table_name, layer)
+    select c.* exclude (gone, no_table), expected as expected_columns,
+        case when no_table then expected when layer = 1 then missing_columns else gone end as skipped_columns,
+        expected - skipped_columns as checked_columns,
+        case when layer = 1 then expected - missing_columns - mistyped_columns end as aligned_columns,
+        failed > 0 or (layer = 1 and warned > 0) as layer_failed,
+        case table_name when 'condition_occurrence' then (select count(*) from faulty)
+            when 'visit_occurrence' then (select count(*) from t_visit_occurrence) end as table_rows
+    from counted c join layers using (table_name, layer))""",
     **_FAULTY,
+    **WHOLE,
 )
-WHOLE = TABLES | {f"w_{t}": whole(t, f"t_{t}") for t in BUILDS}
 _EVERY = " union all ".join(
     _row(t, 1, "PASS", "schema", _OK) + " union all " + validation(t, f"w_{t}")
     if t in BUILDS

@@ -283,6 +283,24 @@ def join_sources_query(data: Data) -> DataFrame:
 
 
 
+@query
+def join_between(data: Data) -> DataFrame:
+    """Each measurement with the stays of any patient of its user's number that it falls into, by dates alone and by key."""
+    stays = data["encounter"].selectExpr("encounter_id", "patient_id", "cast(admit_datetime as date) as first_day", "discharge_date as last_day")
+    moved = data["clinical_measurement"].selectExpr(
+        "measurement_id", "patient_id", "date_sub(cast(measurement_datetime as date), cast(measurement_id % 9000 as int)) as day"
+    )
+    span = ("m.day", "e.first_day", "e.last_day")
+    frames = {"m": moved, "e": stays, "w": stays}
+    joins = [
+        Join("m", "e", type="left", keys=(("m.patient_id", "e.patient_id"),), between=span),
+        Join("m", "w", "w.encounter_id % 97 = m.measurement_id % 97", between=("m.day", "w.first_day", "w.last_day")),
+    ]
+    return join_sources(frames, joins).selectExpr(
+        "m.measurement_id", "m.day", "e.encounter_id as own_stay", "w.encounter_id as other_stay"
+    )
+
+
 @query
 def lookup_source_map(data: Data) -> DataFrame:
     out = apply_lookups(data["patient"].alias("pat"), [RACE], data.vocab)
@@ -906,7 +924,14 @@ def validate_table(data: Data) -> DataFrame:
 
 @query
 def layer_summary(data: Data) -> DataFrame:
-    return conformance.layer_summary(validate_table(data))
+    """Counts of columns and findings for a faulty, a sound and a missing table."""
+    checked = {
+        "condition_occurrence": _faulty_conditions(data),
+        "visit_occurrence": _stored(data, "visit_occurrence"),
+        "specimen": None,
+    }
+    found = conformance.findings(data.spark, checked, data["concept"])
+    return conformance.layer_summary(found, checked)
 
 
 def all_stored(data: Data) -> dict[str, DataFrame]:
