@@ -37,6 +37,8 @@ WEIGHTS = (1, 2, 3)
 MOST = 3
 BLOCK = 16_384
 FAN = 1024
+#: Rows of a table of sources that is broadcast at most.
+SOURCES = 100_000
 SEED = 20_231
 #: A share so close to 0 or 1 counts as whole.
 NEAR = 1e-9
@@ -108,34 +110,40 @@ def _round_block(rows: pd.DataFrame) -> pd.DataFrame:
     return rows.assign(share=share, open=np.arange(len(rows)) == left)
 
 
-ROW = "id long, h long, source string, size long, source_size long, target double, whole long, share double, block long, draw long"
+ROW = "id long, h long, source string, size long, source_size long, target double, whole long, share double, blocks long, block long, draw long"
 
 
 def round_copies(items: DataFrame, block: int = BLOCK, fan: int = FAN, seed: int = SEED) -> DataFrame:
     """Rows (id, h, source, size, source_size, target, whole, share) with ``copies``.
 
-    Every level of the tree is stored, so it is rounded once and the next one starts from its residuals.
+    A source is dealt to as many blocks as it fills, so small ones are rounded in one, however large others are. Every
+    level of the tree is stored, so it is rounded once and the next one starts from its residuals; a source whose
+    last block is done drops out.
     """
     # What is whole already has no part in the tree.
-    done = [items.where("share = 0").withColumns({"block": F.lit(0).cast("long"), "draw": F.lit(0).cast("long"), "open": F.lit(False)})]
+    none = F.lit(0).cast("long")
+    done = [items.where("share = 0").withColumns({"blocks": none, "block": none, "draw": none, "open": F.lit(False)})]
     items = items.where("share > 0")
-    n = items.groupBy("source").count().agg(F.max("count")).first()[0] or 0
-    blocks, level = -(-n // block), 0
+    filled = F.ceil(F.count("*") / F.lit(block)).cast("long")
+    counted = stored(items.groupBy(F.col("source").alias("__source")).agg(filled.alias("blocks")), "blocks")
+    sources, most = counted.agg(F.count("*"), F.coalesce(F.max("blocks"), F.lit(0))).first()
+    counted, level = F.broadcast(counted) if sources <= SOURCES else counted, 0
     place = F.xxhash64(F.lit(seed), "h", "id")
-    rows = items.withColumn("block", F.pmod(place, F.lit(max(1, blocks))))
+    rows = items.join(counted, F.col("source").eqNullSafe(F.col("__source"))).drop("__source").withColumn("block", F.pmod(place, F.col("blocks")))
     while True:
         draw = F.xxhash64(F.lit(seed + 1 + level), "h", "id", "size")
         made = stored(
             rows.withColumn("draw", draw).groupBy("source", "block").applyInPandas(lambda x: _round_block(x), ROW + ", open boolean"), f"rounded-{level}"
         )
-        if blocks <= 1:
-            # The last residual of a source is drawn by its share.
-            last = F.pmod(F.xxhash64(F.lit(seed - 1), "h", "id"), F.lit(1 << 52)) / F.lit(float(1 << 52)) < F.col("share")
-            done.append(made.withColumn("share", F.when(F.col("open"), last.cast("double")).otherwise(F.col("share"))))
+        # The last residual of a source is drawn by its share.
+        last = F.pmod(F.xxhash64(F.lit(seed - 1), "h", "id"), F.lit(1 << 52)) / F.lit(float(1 << 52)) < F.col("share")
+        done.append(made.where("not open or blocks = 1").withColumn("share", F.when(F.col("open"), last.cast("double")).otherwise(F.col("share"))))
+        if most <= 1:
             break
-        done.append(made.where(~F.col("open")))
-        blocks, level = -(-blocks // fan), level + 1
-        rows = made.where("open").drop("open", "draw").withColumn("block", F.floor(F.col("block") / fan).cast("long"))
+        most, level = -(-most // fan), level + 1
+        rows = made.where("open and blocks > 1").drop("open", "draw").withColumns(
+            {"block": F.floor(F.col("block") / fan).cast("long"), "blocks": F.ceil(F.col("blocks") / fan).cast("long")}
+        )
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
@@ -148,7 +156,7 @@ def plan_mix(docs: DataFrame, id: str = "doc_id", text: str = "text", source: st
         docs.select(F.col(id).cast("long").alias("id"), F.xxhash64(whole_text(text)).alias("h"), F.col(source).alias("source"), words(text).alias("size")), "sizes"
     )
     targets = source_targets(items, weights, most)
-    sized = items.join(F.broadcast(targets) if targets.count() <= 100_000 else targets, items["source"].eqNullSafe(targets["source"]), "inner").drop(targets["source"])
+    sized = items.join(F.broadcast(targets) if targets.count() <= SOURCES else targets, items["source"].eqNullSafe(targets["source"]), "inner").drop(targets["source"])
     copies = F.when((F.col("source_size") > 0) & (F.col("size") > 0), F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(copies + F.lit(1e-12)).cast("long")
     sized = sized.select(

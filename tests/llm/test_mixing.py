@@ -61,6 +61,21 @@ def test_tree_of_several_levels_and_reruns(spark, monkeypatch):
     assert {(r["id"], r["copies"]) for r in first} == {(r["id"], r["copies"]) for r in again}
 
 
+def test_small_sources_stay_in_one_block(spark, monkeypatch):
+    monkeypatch.setattr(mixing.round_copies, "__defaults__", (16, 4, mixing.SEED))
+    groups = []
+    plain = mixing.stored
+    monkeypatch.setattr(mixing, "stored", lambda df, name: groups.append(plain(df, name)) or groups[-1])
+    rows = [(i, "w " * (1 + i % 7), None, "hot" if i % 3 else (None, "s", "t")[i % 9 // 3], 0) for i in range(900)]
+    plan = mixing.plan_mix(samples.documents(spark, rows)).collect()
+    check(rows, plan)
+    first = next(df for df in groups if "draw" in df.columns)
+    seen = {r["source"]: (r["n"], r["b"]) for r in first.groupBy("source").agg({"*": "count", "block": "max"}).toDF("source", "n", "b").collect()}
+    assert all(b < -(-n // 16) for n, b in seen.values())
+    few = [(1, "w w w", None, "a", 0), (2, "w", None, "b", 0), *((i, "w " * (i % 5), None, "c", 0) for i in range(3, 90))]
+    check(few, mixing.plan_mix(samples.documents(spark, few)).collect())
+
+
 def test_pivot_keeps_mass_and_mean():
     rng = random.Random(7)
     sizes = [float(rng.randint(1, 50)) for _ in range(9)]
