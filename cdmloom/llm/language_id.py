@@ -29,6 +29,8 @@ from cdmloom.llm.common import small_batches
 UNDETERMINED = "und"
 #: Labelled documents a language is learned from, at most.
 SAMPLE = 128
+#: Parts of a language that are ranked on their own before the whole.
+PARTS = 64
 #: Bytes of a language's dictionary, at most.
 CONTENT = 64 * 1024
 #: Bytes compressed at a time, so that the dictionary and not the text itself explains the text.
@@ -50,7 +52,10 @@ def learn(labelled: DataFrame, id: str = "doc_id", text: str = "text", lang: str
     rows = rows.withColumn("long", F.octet_length(t) > content // 8).withColumn("h", F.xxhash64(t))
     # Only hashes move; copies are one before the sample is taken.
     order = Window.partitionBy("lang").orderBy("long", "h")
-    picked = rows.groupBy("lang", "long", "h").agg(F.count("*").alias("n")).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
+    # Ranked within parts of a language first, so that one task never has more than the first of each part.
+    in_part = Window.partitionBy("lang", F.pmod("h", F.lit(PARTS))).orderBy("long", "h")
+    firsts = rows.groupBy("lang", "long", "h").agg(F.count("*").alias("n")).withColumn("rank", F.row_number().over(in_part)).where(F.col("rank") <= sample)
+    picked = firsts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= sample)
     share = F.greatest(F.lit(content // 32), F.floor(content / F.sum(F.col("long").cast("int")).over(Window.partitionBy("lang")))).cast("int")
     picked = picked.withColumn("share", F.when(F.col("long"), share)).select("lang", "h", "rank", "share")
     begin = F.greatest(F.lit(0), F.floor((F.length(t) - F.col("share")) / 2)).cast("int")

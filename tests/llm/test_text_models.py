@@ -175,6 +175,36 @@ def test_held_out_perplexity_beats_unigrams(spark):
     assert score > base
 
 
+def test_dictionaries_do_not_depend_on_parts(spark, monkeypatch):
+    rows = [(i, f"text number {i * i} of language {i % 2}", f"l{i % 2}", None, 0) for i in range(600)]
+    docs = samples.documents(spark, rows)
+    made = li.learn(docs, sample=40)
+    monkeypatch.setattr(li, "PARTS", 1)
+    assert li.learn(docs.repartition(7), sample=40) == made
+    assert {c: d.count(b"\n") for c, d in made.items()} == {"l0": 39, "l1": 39}
+
+
+@pytest.mark.parametrize(
+    "text", ["the first of these languages", "und dies ist die zweite Sprache", "THE " * 3000, "a", "\u00e9\U0001f642 mixed"]
+)
+def test_language_choice_equals_plain_compression(text):
+    import zstandard
+
+    dictionaries = {"en": b"the first of these languages is english", "de": b"und dies ist die zweite sprache"}
+    data = text.lower().encode()
+    plain = []
+    for code in sorted(dictionaries):
+        known = zstandard.ZstdCompressionDict(dictionaries[code], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        total = 0
+        for begin in range(0, len(data), li.BLOCK):
+            one = zstandard.ZstdCompressor(level=li.LEVEL, dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False)
+            total += len(one.compress(data[begin : begin + li.BLOCK]))
+        plain.append((total, code))
+    classify = li.Classifier(dictionaries)
+    assert classify.sizes(text) == sorted(plain)
+    assert classify(text)[0] == min(plain)[1]
+
+
 def test_languages_of_long_texts_or_many_copies(spark):
     long = {"la": "gallia est omnis divisa in partes tres quarum unam incolunt belgae ", "fi": "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan "}
     rows = [(i, " ".join(f"{t}{1000 * i + k}" for k in range(400)), code, None, 0) for i, (code, t) in enumerate(list(long.items()) * 3)]
