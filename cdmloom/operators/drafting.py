@@ -44,11 +44,14 @@ def classify_codes(codes: DataFrame, concept: DataFrame, edges: DataFrame) -> Da
     hits = lookup_concept_by_code(codes, concept)
     is_standard = F.coalesce(F.col("standard_concept") == "S", F.lit(False))
     known, standard = F.col("g.target_concept_id"), F.col("target_standard_concept") == "S"
-    start = F.when(~is_standard, F.col("h.concept_id"))
+    # Codes without an edge to follow get keys of their own below zero, so that they do not meet in one task.
+    alone = F.lit(-1).cast("long") - F.shiftrightunsigned(F.xxhash64("h.vocabulary_id", "h.source_code"), 1)
+    start = F.coalesce(F.when(~is_standard, F.col("h.concept_id")).cast("long"), alone)
+    goal = F.coalesce(F.col("m.target_concept_id").cast("long"), alone)
     counted = (
         hits.alias("h")
-        .join(maps_to(edges).alias("m"), start == F.col("m.concept_id"), "left")
-        .join(targets(concept).alias("g"), F.col("m.target_concept_id") == known, "left")
+        .join(maps_to(edges).alias("m"), start == F.col("m.concept_id").cast("long"), "left")
+        .join(targets(concept).alias("g"), goal == known.cast("long"), "left")
         .groupBy(*[F.col(f"h.{c}") for c in hits.columns])
         .agg(
             F.count(known).alias("targets"),

@@ -1,15 +1,17 @@
 import datetime as dt
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from cdmloom.functions import values
 from cdmloom.functions.keys import hash_key, key_collisions, md5_key, natural_key, row_number_key, wide_key
-from cdmloom.model.spec import Rule, Rules, Source
+from cdmloom.model.spec import BY_RELATIONSHIP, Lookup, Rule, Rules, Source
 from cdmloom.model.vocabulary import VOCABULARY_TABLES
 from cdmloom.operators import profiling
 from cdmloom.operators.expectations import expectation_metrics
+from cdmloom.operators.lookups import apply_lookups
 from cdmloom.plans.build import store_with_metrics
 from cdmloom.sources import concept_map, vocabulary_files
 from cdmloom.sources.tables import StaleVersion, commits, held, read_sources, read_target, remove_versions, write_target
@@ -176,6 +178,7 @@ def test_values(spark):
 def test_profiles(spark):
     df = spark.createDataFrame([(1, "a"), (1, None), (2, "a"), (None, "b")], "k INT, v STRING")
     assert rows(profiling.column_profile(df)) == [("k", 4, 1, 2), ("v", 4, 1, 2)]
+    assert rows(profiling.column_profile(df, profiling.dense_columns(df))) == [("k", 4, 1, 2), ("v", 4, 1, 2)]
     assert rows(profiling.duplicate_keys(df, ["k"])) == [(1, 2)]
     assert rows(profiling.null_rates(df, ["k", "v"])) == [("k", 1, 4, 0.25), ("v", 1, 4, 0.25)]
     assert rows(profiling.code_frequency(df, "v")) == [(None, 1), ("a", 2), ("b", 1)]
@@ -263,3 +266,30 @@ def test_a_key_is_null_where_a_part_that_names_the_row_is(spark):
 def test_colliding_keys_are_found(spark):
     df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c"), (None, "d")], "k INT, p STRING")
     assert rows(key_collisions(df, "k", "p")) == [(1, 2, 2)]
+
+
+def test_profile_counts_numbers_as_numbers(spark):
+    df = spark.sql(
+        "select id * 3 - 50000 as `a.b`, if(id % 7 = 0, null, id % 1000) as few, id * 1000000007 as far, cast(id % 9 as string) as text, "
+        "date_add(date '2020-01-01', cast(id % 400 as int)) as day, cast(id % 11 as double) as d, cast(null as int) as none, id % 2 = 0 as flag from range(40000)"
+    )
+    want = [
+        ("a.b", 40000, 0, 40000), ("d", 40000, 0, 11), ("day", 40000, 0, 400), ("far", 40000, 0, 40000),
+        ("few", 40000, 5715, 1000), ("flag", 40000, 0, 2), ("none", 40000, 40000, 0), ("text", 40000, 0, 9),
+    ]
+    dense = profiling.dense_columns(df)
+    assert dense == ["a.b", "few", "day", "flag"]
+    assert rows(profiling.column_profile(df, dense)) == rows(profiling.column_profile(df)) == want
+    assert profiling.dense_columns(df.limit(0)) == [] and profiling.column_profile(df.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="text"):
+        profiling.column_profile(df, ["text"])
+
+
+def test_distribution_from_codes_reads_facts_once(spark, vocab):
+    facts = spark.createDataFrame([("A",)] * 3 + [("B",)] * 2 + [("C",), (None,), ("A",)], "code STRING")
+    after = replace(vocab, concept_relationship=vocab.concept_relationship.filter("concept_id_2 <> 102"))
+    lookup = Lookup("f", "code", "concept_id", BY_RELATIONSHIP, vocabulary_id="LOC", domain_id="Condition")
+    one = profiling.code_distribution_diff(facts, lookup, vocab, after)
+    both = [apply_lookups(facts.alias("f"), [lookup], v) for v in (vocab, after)]
+    assert rows(one) == rows(profiling.concept_distribution_diff(*both, "concept_id"))
+    assert sum(r["rows_before"] for r in one.collect()) >= 8

@@ -408,12 +408,13 @@ def _distribution(suffix: str) -> str:
         left join {hop('Condition', suffix=suffix)} m on m.code = diagnosis_code group by 1)"""
 
 
-oracle(
-    "concept_distribution_diff",
-    f"""select concept_id, coalesce(b.n, 0) as rows_before, coalesce(a.n, 0) as rows_after,
-        coalesce(a.n, 0) - coalesce(b.n, 0) as difference
-    from {_distribution('')} b full join {_distribution('_after')} a using (concept_id)""",
-)
+for _name in ("concept_distribution_diff", "concept_distribution_diff_of_tables"):
+    oracle(
+        _name,
+        f"""select concept_id, coalesce(b.n, 0) as rows_before, coalesce(a.n, 0) as rows_after,
+            coalesce(a.n, 0) - coalesce(b.n, 0) as difference
+        from {_distribution('')} b full join {_distribution('_after')} a using (concept_id)""",
+    )
 oracle(
     "join_fanout_check",
     """select case n when 0 then 'none' when 1 then 'one' else 'many' end as partners,
