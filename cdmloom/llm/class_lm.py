@@ -1,18 +1,23 @@
 """Scores of a class-based bigram language model.
 
-P(word | word before) = P(class | class before) * P(word | class). The ``CLUSTERED`` most frequent words are
-put into ``CLASSES`` classes by exchange: each word in turn goes to the class that raises the likelihood of
-the class bigrams most, until none moves. All other words, seen or not, are in one of ``OPEN`` classes by a
-hash of their last two bytes, so that their class needs no table. Transitions are smoothed towards the
-classes' own frequencies, emissions by an added ``ALPHA``, with one share for words not seen.
-
-All training texts are counted, in three passes over the texts:
+P(word | word before) = P(class | class before) * P(word | class). Words get their classes by exchange, in two
+tiers. The ``CLUSTERED`` most frequent words are put into ``CLASSES`` classes one by one: each goes to the class
+that raises the likelihood of the class bigrams most, until none moves. All other words of at least ``LEAST``
+training tokens, up to ``FREQUENT`` in all, are exchanged together, in Spark: how often each has which class before and after it is
+counted in a shuffle, and each goes to the class whose likelihood it raises most, to first order in its own
+counts, which are small against those of a class. That is repeated until none moves, ``ROUNDS`` times at most.
+Words rarer than that, seen or not, are in one of ``OPEN`` classes by a hash of their last two bytes, so that
+their class needs no table. Transitions are smoothed towards the classes' own frequencies, emissions by an added
+``ALPHA``, with one share for words not seen.
+
+All training texts are counted, in passes over the texts or over their numbers:
 
 1. words: each task counts in bounded tables and the counts are summed in a shuffle;
-2. bigrams of symbols (a clustered word, an open class, or the text's edge): at most (1 + CLUSTERED + OPEN)^2
-   numbers however large the corpus, which exchange and transitions need and no more;
-3. scores: the ``FREQUENT`` most frequent words' counts are broadcast, a table of fixed size. The rest of the
-   words, which are rare by construction, are joined with the table of counts by a shuffle.
+2. paths: texts as numbers of words, stored, which the passes of the exchange read in place of the texts;
+3. bigrams of symbols (a clustered word, an open class, or the text's edge), for the first tier;
+4. classes before and after each word of the second tier, once a round, and bigrams of classes;
+5. scores: the frequent words' counts are broadcast, a table of fixed size, of words of at most ``WORD_BYTES``
+   bytes. The rest of the words are joined with the table of counts by a shuffle.
 
 Tokens are words in lower case (A to Z only), then one end for each text. Defined results: a null text counts as
 empty and has its end as only token; without training texts all counts are 0; null ids and repeated rows come
@@ -22,10 +27,12 @@ other columns may have any name.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import Counter
-from collections.abc import Iterator
-from typing import NamedTuple
+from collections.abc import Callable, Iterator
+from itertools import count
+from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,9 +47,16 @@ OPEN = 32
 FREQUENT = 1 << 18
 #: Distinct words a task counts before it hands its counts on.
 COUNTED = 400_000
-#: Bigrams of symbols a task gathers before it adds them up.
-GATHERED = 1 << 20
-SWEEPS = 5
+#: Neighbours of words a task gathers before it adds them up.
+GATHERED = 1 << 21
+#: Paths a task looks at together.
+PATHS = 64
+#: Bytes of the longest word that a table on the driver may hold.
+WORD_BYTES = 64
+#: Training tokens of a word of the second tier, at least: with fewer, a class of its own choice says more of chance than of the word.
+LEAST = 8
+#: Exchanges of the words of the second tier.
+ROUNDS = 2
 ALPHA = 0.1
 GAMMA = 10.0
 
@@ -84,46 +98,128 @@ def word_counts(texts: DataFrame, counted: int = COUNTED) -> DataFrame:
     return stored(texts.mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
 
 
+def most_frequent(counts: DataFrame, frequent: int = FREQUENT) -> list[tuple[bytes, int]]:
+    """At most ``frequent`` words, the most frequent first, found by counts of counts and not by a sort of all words.
+
+    Of the words of the last count, those of the first slots of a hash are taken, as many slots as fit.
+    """
+    short = counts.where(F.length("word") <= WORD_BYTES)
+    left, least, slots = frequent, 0, 0
+    for n, words in sorted(((r[0], r[1]) for r in short.groupBy("n").count().collect()), reverse=True):
+        if words > left:
+            slot = F.pmod(F.xxhash64("word"), F.lit(1024))
+            for _, some in sorted((r[0], r[1]) for r in short.where(F.col("n") == n).groupBy(slot).count().collect()):
+                if some > left:
+                    break
+                left, slots = left - some, slots + 1
+            least = n
+            break
+        left -= words
+    if slots:
+        places = [r[0] for r in short.where(F.col("n") == least).select(slot.alias("slot")).distinct().orderBy("slot").limit(slots).collect()]
+        chosen = (F.col("n") > least) | (F.col("n") == least) & (slot <= places[-1])
+    else:
+        chosen = F.col("n") > least
+    table = short.where(chosen).select("word", "n").toArrow()
+    return sorted(zip(table["word"].to_pylist(), table["n"].to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
+
+
 class Symbols(dict):
-    """Word to symbol: 0 is the edge of a text, then the clustered words, then the open classes."""
+    """Word to symbol: 0 is the edge of a text, then the known words, then the open classes."""
 
-    def __init__(self, clustered: list[bytes], n_open: int) -> None:
-        super().__init__((w, i + 1) for i, w in enumerate(clustered))
-        self.first_open, self.n_open = len(clustered) + 1, n_open
+    def __init__(self, known: list[bytes], n_open: int) -> None:
+        super().__init__((w, i + 1) for i, w in enumerate(known))
+        self.first_open, self.n_open = len(known) + 1, n_open
 
     def __missing__(self, word: bytes) -> int:
         return self.first_open + open_class(word, self.n_open)
 
 
-def symbol_bigrams(texts: DataFrame, clustered: list[bytes], n_open: int = OPEN) -> np.ndarray:
-    """Counts of symbols one after the other, the texts' edges included."""
-    spark, size = texts.sparkSession, 1 + len(clustered) + n_open
+_CACHE: dict[str, Any] = {}
+
+
+def _kept(token: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, once in a worker; a new token takes the place of the last one."""
+    if token not in _CACHE:
+        _CACHE.clear()
+        _CACHE[token] = make()
+    return _CACHE[token]
+
+
+def symbol_paths(texts: DataFrame, known: list[bytes], n_open: int = OPEN) -> DataFrame:
+    """(path): the symbols of each text behind the edge, packed as 32-bit numbers. Stored."""
+    shared, token = texts.sparkSession.sparkContext.broadcast(known), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbol, total, gathered, n = Symbols(clustered, n_open), np.zeros(size * size, np.int64), [], 0
+        symbol = _kept(token, lambda: Symbols(shared.value, n_open))
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                s = np.array([0, *map(symbol.__getitem__, tokens(text)), 0], np.int64)
-                gathered.append(s[:-1] * size + s[1:])
-                n += len(s)
-                if n > GATHERED:
-                    total += np.bincount(np.concatenate(gathered), minlength=size * size)
-                    gathered, n = [], 0
-        if gathered:
-            total += np.bincount(np.concatenate(gathered), minlength=size * size)
+            paths = [np.array([0, *map(symbol.__getitem__, tokens(t))], np.int32).tobytes() for t in batch.column(0).to_pylist()]
+            yield pa.record_batch([pa.array(paths, pa.binary())], ["path"])
+
+    small_batches(texts.sparkSession)
+    return stored(texts.mapInArrow(run, "path binary"), "paths")
+
+
+def _steps(batch: pa.RecordBatch) -> np.ndarray:
+    """The symbols of a batch of paths; as each begins at the edge, only the last needs one behind it."""
+    return np.append(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int32), np.int32(0))
+
+
+def symbol_bigrams(paths: DataFrame, onto: np.ndarray) -> np.ndarray:
+    """Counts of symbols one after the other, the texts' edges included, after ``onto`` has put symbols together."""
+    spark, size = paths.sparkSession, int(onto.max(initial=0)) + 1
+    shared = spark.sparkContext.broadcast(onto)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size * size, np.int64)
+        for batch in batches:
+            for begin in range(0, batch.num_rows, PATHS):
+                s = shared.value[_steps(batch.slice(begin, PATHS))].astype(np.int64)
+                total += np.bincount(s[:-1] * size + s[1:], minlength=size * size)
         at = np.flatnonzero(total)
         for begin in range(0, len(at), 1 << 16):
             some = at[begin : begin + (1 << 16)]
             yield pa.record_batch([pa.array(some.astype(np.int32)), pa.array(total[some])], ["cell", "n"])
 
-    small_batches(spark)
-    cells = texts.mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    cells = paths.mapInArrow(run, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     out = np.zeros(size * size, np.int64)
     table = cells.toArrow()
     out[table["cell"].to_numpy()] = table["n"].to_numpy()
     return out.reshape(size, size)
 
 
+def neighbours(paths: DataFrame, class_of: np.ndarray, begin: int, end: int) -> DataFrame:
+    """(word, cell, n) of the symbols from ``begin`` to ``end``: cell is the class behind, or the class before plus the number of classes."""
+    spark, n_classes = paths.sparkSession, int(class_of.max()) + 1
+    shared = spark.sparkContext.broadcast(class_of)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gathered: list[np.ndarray] = []
+
+        def counts() -> pa.RecordBatch:
+            key, n = np.unique(np.concatenate([np.zeros(0, np.int64), *gathered]), return_counts=True)
+            gathered.clear()
+            word, cell = np.divmod(key, 2 * n_classes)
+            return pa.record_batch([pa.array(word.astype(np.int32)), pa.array(cell.astype(np.int32)), pa.array(n.astype(np.int64))], ["word", "cell", "n"])
+
+        held = 0
+        for batch in batches:
+            for first in range(0, batch.num_rows, PATHS):
+                s = _steps(batch.slice(first, PATHS))
+                c = shared.value[s]
+                at = np.flatnonzero((s >= begin) & (s < end))
+                key = s[at].astype(np.int64) * (2 * n_classes)
+                # A word is never the first or last symbol, as edges are around every text.
+                gathered += [key + c[at + 1], key + n_classes + c[at - 1]]
+                held += 2 * len(at)
+                if held > GATHERED:
+                    yield counts()
+                    held = 0
+        yield counts()
+
+    return paths.mapInArrow(run, "word int, cell int, n long").groupBy("word", "cell").agg(F.sum("n").alias("n"))
+
+
 # Classes
 
 
@@ -131,10 +227,11 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
     return x * np.log(np.maximum(x, 1))
 
 
-def exchange(bigrams: np.ndarray, n_words: int, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
+def exchange(bigrams: np.ndarray, n_words: int, classes: int = CLASSES, sweeps: int | None = None) -> np.ndarray:
     """The class of every symbol: the edge is 0, words have 1 to ``classes``, open classes follow.
 
-    Words start in turn by frequency; each move raises the likelihood of the class bigrams.
+    Words start in turn by frequency; each move raises the likelihood of the class bigrams, so it ends by itself
+    when none moves, or after ``sweeps``.
     """
     size, n_classes = len(bigrams), 1 + classes + (len(bigrams) - 1 - n_words)
     of = np.zeros(size, np.int64)
@@ -145,7 +242,7 @@ def exchange(bigrams: np.ndarray, n_words: int, classes: int = CLASSES, sweeps:
     counts = onto.T @ bigrams @ onto
     after, before = bigrams @ onto, bigrams.T @ onto  # of each symbol: what follows, what precedes, by class
     targets = np.arange(1, 1 + classes)
-    for _ in range(sweeps):
+    for _ in count() if sweeps is None else range(sweeps):
         moved = 0
         for w in range(1, 1 + n_words):
             own, itself = of[w], float(bigrams[w, w])
@@ -179,10 +276,40 @@ def exchange(bigrams: np.ndarray, n_words: int, classes: int = CLASSES, sweeps:
     return of
 
 
+def exchange_round(paths: DataFrame, class_of: np.ndarray, begin: int, end: int, classes: int = CLASSES) -> np.ndarray:
+    """``class_of`` with each symbol from ``begin`` to ``end`` in the class from 1 to ``classes`` that gains most by it.
+
+    The gain is that of the likelihood of the class bigrams to first order: the sum over the word's neighbours
+    of the log share that their class has behind and before the class it goes to.
+    """
+    pairs = symbol_bigrams(paths, class_of) + 0.5
+    n_classes = len(pairs)
+    own = slice(1, 1 + classes)
+    behind = np.log(pairs[own] / pairs[own].sum(1, keepdims=True)).T
+    before = np.log(pairs[:, own] / pairs[:, own].sum(0))
+    shared = paths.sparkSession.sparkContext.broadcast(np.concatenate([behind, before]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column(1)
+            cells = found.flatten()
+            at = np.repeat(np.arange(batch.num_rows), found.value_lengths().to_numpy())
+            seen = np.zeros((batch.num_rows, 2 * n_classes))
+            seen[at, cells.field(0).to_numpy()] = cells.field(1).to_numpy()
+            best = 1 + (seen @ shared.value).round(6).argmax(1)
+            yield pa.record_batch([batch.column(0), pa.array(best.astype(np.int32))], ["word", "class"])
+
+    lists = neighbours(paths, class_of, begin, end).groupBy("word").agg(F.collect_list(F.struct("cell", "n")).alias("found"))
+    chosen = lists.mapInArrow(run, "word int, class int").toArrow()
+    out = class_of.copy()
+    out[chosen["word"].to_numpy()] = chosen["class"].to_numpy()
+    return out
+
+
 class Model(NamedTuple):
     counts: DataFrame  # (word, n) of all training words
     frequent: list[tuple[bytes, int]]  # the most frequent first
-    clustered: int
+    clustered: int  # how many of them have a class by exchange, in either tier
     train_tokens: int
     train_types: int
     train_texts: int
@@ -203,33 +330,45 @@ class Model(NamedTuple):
 
 def learn(
     docs: DataFrame, training: Column | None = None, text: str = "text", clustered: int = CLUSTERED, classes: int = CLASSES, n_open: int = OPEN,
-    frequent: int = FREQUENT, alpha: float = ALPHA, gamma: float = GAMMA,
+    frequent: int = FREQUENT, alpha: float = ALPHA, gamma: float = GAMMA, rounds: int = ROUNDS, least: int = LEAST,
 ) -> Model:
-    """The model of the texts of the rows that ``training`` selects; of all rows by default."""
+    """The model of the texts of the rows that ``training`` selects; of all rows by default.
+
+    ``clustered`` is the size of the first tier; without ``rounds``, the words of the second stay in their open classes.
+    """
     texts = (docs if training is None else docs.where(training)).select(whole_text(text).alias("text"))
     counts = word_counts(texts)
     sums = counts.agg(F.sum("n"), F.count("*")).first()
-    known = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.desc("n"), "word").limit(frequent).collect()]
-    words = [w for w, _ in known[:clustered]]
-    bigrams = symbol_bigrams(texts, words, n_open)
-    class_of = exchange(bigrams, len(words), classes)
+    known = most_frequent(counts, frequent)
+    words = [w for i, (w, n) in enumerate(known) if i < clustered or n >= least]
+    paths = symbol_paths(texts, words, n_open)
+    # First tier: the words beyond it count as their open classes.
+    n_first = min(clustered, len(words))
+    opened = 1 + n_first + np.array([open_class(w, n_open) for w in words[n_first:]], np.int64)
+    onto = np.concatenate([np.arange(1 + n_first), opened, 1 + n_first + np.arange(n_open)])
+    bigrams = symbol_bigrams(paths, onto)
+    class_of = exchange(bigrams, n_first, classes)[onto]
+    # Second tier.
+    for _ in range(rounds if len(words) > n_first else 0):
+        moved = exchange_round(paths, class_of, 1 + n_first, 1 + len(words), classes)
+        if (moved == class_of).all():
+            break
+        class_of = moved
     n_classes = int(class_of.max()) + 1
-    onto = np.zeros((len(bigrams), n_classes))
-    onto[np.arange(len(bigrams)), class_of] = 1
-    pairs = onto.T @ bigrams @ onto
+    pairs = symbol_bigrams(paths, class_of)
+    n_texts = int(pairs[0].sum())
     alone = (pairs.sum(0) + 1) / (pairs.sum() + n_classes)
     transition = np.log10((pairs + gamma * alone) / (pairs.sum(1, keepdims=True) + gamma))
     tokens_of, types_of = np.zeros(n_classes), np.zeros(n_classes)
-    np.add.at(tokens_of, class_of[1 : 1 + len(words)], [n for _, n in known[:clustered]])
+    np.add.at(tokens_of, class_of[1 : 1 + len(words)], [n for _, n in known[: len(words)]])
     np.add.at(types_of, class_of[1 : 1 + len(words)], 1)
     # What is not clustered is counted by open class; the clustered words are taken off again.
     for c, n, types in counts.groupBy(_open_class("word", n_open)).agg(F.sum("n"), F.count("*")).collect():
         tokens_of[class_of[1 + len(words) + c]] += n
         types_of[class_of[1 + len(words) + c]] += types
-    for w, n in known[:clustered]:
+    for w, n in known[: len(words)]:
         tokens_of[class_of[1 + len(words) + open_class(w, n_open)]] -= n
         types_of[class_of[1 + len(words) + open_class(w, n_open)]] -= 1
-    n_texts = int(bigrams[0].sum())
     return Model(
         counts, known, len(words), (sums[0] or 0) + n_texts, sums[1] + (n_texts > 0), n_texts, class_of, transition, tokens_of, types_of, alpha
     )
@@ -248,13 +387,18 @@ def score(docs: DataFrame, model: Model, id: str = "doc_id", text: str = "text",
     end_base = float(model.base(np.array(model.train_texts))) if model.train_tokens else 0.0
     names = ["n_tokens", "n_known", "base_score", "score"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    token = uuid.uuid4().hex
+
+    def tables() -> tuple:
         m: Model = shared.value
         place = {w: i for i, (w, _) in enumerate(m.frequent)}
         n = np.array([n for _, n in m.frequent], np.int64)
         symbol = np.array([i + 1 if i < m.clustered else first_open + open_class(w, n_open) for i, (w, _) in enumerate(m.frequent)], np.int64)
         klass = m.class_of[symbol] if len(symbol) else symbol
-        base, emission = m.base(n), m.emission(n, klass)
+        return m, place, klass, m.base(n), m.emission(n, klass)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, place, klass, base, emission = _kept(token, tables)
         edge = np.zeros(1, np.int64)
         for batch in batches:
             made, offsets, missing, times = [], [0], [], []
