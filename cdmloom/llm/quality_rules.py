@@ -128,7 +128,7 @@ _POWERS = np.ones(1, np.uint32)
 
 
 def _powers(n: int) -> np.ndarray:
-    """1, r, r^2, ... modulo 2^32, kept from text to text."""
+    """1, r, r^2, ... modulo 2^64, kept from text to text."""
     global _POWERS
     if len(_POWERS) < n:
         steps = np.full(max(n, 64), 0x01000193, np.uint32)
@@ -193,18 +193,25 @@ def _calibrate(scores: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(at[0] / spread), float(at[1] - at[0] * middle / spread)
 
 
+def features(text: str, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and the shares of n-grams in them, summed over the families."""
+    dense = np.zeros(buckets)
+    for b in families(text, buckets):
+        dense += np.bincount(b, minlength=buckets) / len(b)
+    at = np.flatnonzero(dense)
+    return (at, dense[at].astype(np.float32)) if len(at) else (np.zeros(1, np.int64), np.zeros(1, np.float32))
+
+
 def fit(texts: list[str], labels: list[int], buckets: int = BUCKETS) -> Model | None:
     """A calibrated model, or None unless both kinds occur. Every third row is for calibration."""
+    return fit_features([features(t, buckets) for t in texts], labels, buckets)
+
+
+def fit_features(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], buckets: int = BUCKETS) -> Model | None:
+    """The same from the texts' features."""
     y = np.array(labels, np.float64)
     if not len(y) or y.min() == y.max():
         return None
-    rows = []
-    for t in texts:
-        dense = np.zeros(buckets)
-        for b in families(t, buckets):
-            dense += np.bincount(b, minlength=buckets) / len(b)
-        at = np.flatnonzero(dense)
-        rows.append((at, dense[at].astype(np.float32)) if len(at) else (np.zeros(1, np.int64), np.zeros(1, np.float32)))
     apart = np.arange(len(y)) % 3 == 2
     if y[apart].min(initial=1) == y[apart].max(initial=0) or y[~apart].min(initial=1) == y[~apart].max(initial=0):
         apart[:] = False
@@ -216,12 +223,28 @@ def fit(texts: list[str], labels: list[int], buckets: int = BUCKETS) -> Model |
 
 
 def learn(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE) -> Model | None:
-    """The model of a sample of ``sample`` labelled rows, the same at every run."""
+    """The model of a sample of ``sample`` labelled rows, the same at every run.
+
+    Texts stay on the executors: the driver gets features, at most 8 bytes for each of ``BUCKETS`` a row, of
+    ``sample`` rows at most, also where ids repeat.
+    """
     known = labels.select(F.col(id).alias("id"), F.col(label).alias("label")).where(F.col("label").isNotNull() & F.col("id").isNotNull())
     picked = known.orderBy(F.xxhash64("id"), "id", "label").limit(sample)
     texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
-    rows = texts.join(F.broadcast(picked), "id").orderBy(F.xxhash64("id"), "id", "label", "text").collect()
-    return fit([r["text"] for r in rows], [int(r["label"] > 0) for r in rows])
+    rows = texts.join(F.broadcast(picked), "id").select(
+        F.xxhash64("id").alias("h"), F.xxhash64("id", "text").alias("t"), F.when(F.col("label") > 0, 1).otherwise(0).alias("label"), "text"
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [features(t) for t in batch.column(3).to_pylist()]
+            packed = [pa.array([x.astype(kind).tobytes() for x in part], pa.binary()) for part, kind in zip(zip(*found), (np.int32, np.float32))]
+            yield pa.record_batch([*batch.columns[:3], *(packed or [pa.array([], pa.binary())] * 2)], ["h", "t", "label", "at", "value"])
+
+    small_batches(docs.sparkSession)
+    made = rows.mapInArrow(run, "h long, t long, label int, at binary, value binary").orderBy("h", "t", "label").limit(sample).collect()
+    unpacked = [(np.frombuffer(r["at"], np.int32).astype(np.int64), np.frombuffer(r["value"], np.float32)) for r in made]
+    return fit_features(unpacked, [r["label"] for r in made])
 
 
 def apply_rules(docs: DataFrame, model: Model | None, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -226,3 +226,95 @@ def test_character_grams_are_of_code_points(text):
     assert [len(x) for x in found] == [len(text), len(text) - 1, len(text) - 2]
     grams = [len({text[i : i + n] for i in range(len(text) - n + 1)}) for n in (1, 2, 3)]
     assert [len(set(x.tolist())) for x in found] == grams
+
+
+def test_most_frequent_words_without_a_sort(spark):
+    rows = [(b"a", 9), (b"b", 5), (b"c", 5), (b"x" * 65, 50)] + [(b"t%d" % i, 2) for i in range(3000)] + [(b"once%d" % i, 1) for i in range(50)]
+    counts = spark.createDataFrame(rows, "word binary, n long")
+    assert lm.most_frequent(counts, 1000000) == sorted((r for r in rows if len(r[0]) < 65), key=lambda r: (-r[1], r[0]))
+    some = lm.most_frequent(counts, 1003)
+    assert some[:3] == [(b"a", 9), (b"b", 5), (b"c", 5)] and 900 < len(some) <= 1003 and {n for _, n in some[3:]} == {2}
+    assert some == lm.most_frequent(counts.repartition(7), 1003)
+    assert lm.most_frequent(counts, 2) == [(b"a", 9)] or lm.most_frequent(counts, 2) in ([(b"a", 9), (b"b", 5)], [(b"a", 9), (b"c", 5)])
+    assert lm.most_frequent(counts.limit(0), 5) == []
+
+
+def test_exchange_of_the_second_tier_against_plain_counts(spark):
+    rng = np.random.default_rng(5)
+    known = [b"w%d" % i for i in range(30)]
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.4, 12) if i < 40) for _ in range(200)] + ["", "w29", "w3 W4"]
+    paths = lm.symbol_paths(spark.createDataFrame([(t,) for t in texts], "text string").repartition(3), known, 2)
+    class_of = np.concatenate([[0], 1 + np.arange(8) % 3, 4 + np.arange(22) % 2, [4, 5]])
+    got = lm.exchange_round(paths, class_of, 9, 31, 3)
+    symbol = lm.Symbols(known, 2)
+    pairs, around = np.full((6, 6), 0.5), {}
+    for t in texts:
+        s = [0, *(symbol[w] for w in lm.tokens(t)), 0]
+        for a, b in zip(s, s[1:], strict=False):
+            pairs[class_of[a], class_of[b]] += 1
+            around.setdefault(a, []).append((0, class_of[b]))
+            around.setdefault(b, []).append((1, class_of[a]))
+    want = class_of.copy()
+    for w in range(9, 31):
+        gain = [sum(math.log(pairs[c, o] / pairs[c].sum()) if not side else math.log(pairs[o, c] / pairs[:, c].sum()) for side, o in around.get(w, [])) for c in (1, 2, 3)]
+        if w in around:
+            want[w] = 1 + int(np.round(gain, 6).argmax())
+    assert (got == want).all() and (got[:9] == class_of[:9]).all()
+
+
+def test_second_tier_lowers_held_out_perplexity(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    held = fold("doc_id", 7) == 2
+    sums = [lm.score(docs, lm.learn(docs, ~held, clustered=100, rounds=r), keep=(held.alias("h"),)).where("h").agg(F.sum("score")).first()[0] for r in (0, 1)]
+    assert sums[1] > sums[0]
+
+
+def brute_score(model, text):
+    """The score of a text from its n-grams one by one."""
+    size, low, wide = len(model.weights), (1 << 32) - 1, (1 << 64) - 1
+
+    def bucket(h, family, bits=low):
+        return (((h + family) * 0x9E3779B1 & bits) >> 8) & (size - 1)
+
+    def hashed(points):
+        h = 0
+        for p in points:
+            h = (h * 0x01000193 + p) & low
+        return h
+
+    points = [ord(c) for c in text]
+    found = [[bucket(hashed(points[i : i + n]), n) for i in range(len(points) - n + 1)] for n in q.CHARACTER_GRAMS]
+    words = []
+    for w in text.encode().split():
+        h = sum((b + 1) * pow(0x01000193, i, 1 << 64) for i, b in enumerate(w)) * 0x9E3779B1 & wide
+        words.append(h ^ (h >> 15))
+    found += [[bucket(h, 101, wide) for h in words], [bucket((a * 31 + b) & wide, 102, wide) for a, b in zip(words, words[1:], strict=False)]]
+    return model.bias + sum(float(np.mean([model.weights[b] for b in f], dtype=np.float64)) for f in found if f)
+
+
+def test_verdict_against_plain_scoring(spark):
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, (_, t, *_) in enumerate(samples.ROWS) if t is None or len(t) < 10_000] + [
+        (100 + i, f"{samples.PROSE} number {i} " * 3 + " ".join(f"w{i}x{k}" for k in range(60 + i)), "en", "s", 1) for i in range(40)
+    ], samples.SCHEMA)
+    labels = spark.createDataFrame([(100 + i, i % 2) for i in range(40)], "doc_id long, quality int")
+    model = q.learn(docs, labels)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    got = q.apply_rules(docs, model).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        p = 1 / (1 + math.exp(-(model.slope * brute_score(model, texts[r["doc_id"]]) + model.shift)))
+        assert r["probability"] == pytest.approx(p, rel=1e-6)
+        assert r["kept"] == (not r["base_failed"] and r["probability"] >= q.THRESHOLD)
+
+
+def test_learning_takes_features_of_whole_rows(spark):
+    rows = [(i, f"{'good words follow' if i % 2 else '# * $ |'} {i} " * 5, "en", "s", 1) for i in range(30)]
+    # Ids repeat, with equal and with other texts; the sample stays within its bound.
+    rows += [(3, rows[3][1], "en", "s", 1), (3, "other", "en", "s", 1), (4, None, "en", "s", 1), (None, "x", "en", "s", 1)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)] + [(3, 0), (None, 1), (5, None)], "doc_id long, quality int")
+    docs = samples.clashing(samples.documents(spark, rows))
+    one, two = q.learn(docs, labels), q.learn(docs.repartition(5), labels)
+    assert (one.weights == two.weights).all() and one[1:] == two[1:]
+    plain = q.fit([t for _, t, *_ in rows[:30]], [i % 2 for i in range(30)])
+    assert plain.probability("good words follow 7") > 0.5 > plain.probability("# * $ | 8")
+    assert one.probability("good words follow 7") > 0.5 > one.probability("# * $ | 8")
