@@ -189,7 +189,10 @@ def symbol_bigrams(paths: DataFrame, onto: np.ndarray) -> np.ndarray:
 
 
 def neighbours(paths: DataFrame, class_of: np.ndarray, begin: int, end: int) -> DataFrame:
-    """(word, cell, n) of the symbols from ``begin`` to ``end``: cell is the class behind, or the class before plus the number of classes."""
+    """(word, cells) of the symbols from ``begin`` to ``end``, several rows a word.
+
+    Cells are pairs of 32-bit numbers: the class behind, or the class before plus the number of classes, and how often.
+    """
     spark, n_classes = paths.sparkSession, int(class_of.max()) + 1
     shared = spark.sparkContext.broadcast(class_of)
 
@@ -200,7 +203,11 @@ def neighbours(paths: DataFrame, class_of: np.ndarray, begin: int, end: int) ->
             key, n = np.unique(np.concatenate([np.zeros(0, np.int64), *gathered]), return_counts=True)
             gathered.clear()
             word, cell = np.divmod(key, 2 * n_classes)
-            return pa.record_batch([pa.array(word.astype(np.int32)), pa.array(cell.astype(np.int32)), pa.array(n.astype(np.int64))], ["word", "cell", "n"])
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            packed = np.stack([cell, n], 1).astype(np.int32)
+            places = (np.append(first, len(key)) * packed.itemsize * 2).astype(np.int32)
+            cells = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(places), pa.py_buffer(packed)])
+            return pa.record_batch([pa.array(word[first].astype(np.int32)), cells], ["word", "cells"])
 
         held = 0
         for batch in batches:
@@ -217,7 +224,7 @@ def neighbours(paths: DataFrame, class_of: np.ndarray, begin: int, end: int) ->
                     held = 0
         yield counts()
 
-    return paths.mapInArrow(run, "word int, cell int, n long").groupBy("word", "cell").agg(F.sum("n").alias("n"))
+    return paths.mapInArrow(run, "word int, cells binary")
 
 
 # Classes
@@ -289,20 +296,32 @@ def exchange_round(paths: DataFrame, class_of: np.ndarray, begin: int, end: int,
     before = np.log(pairs[:, own] / pairs[:, own].sum(0))
     shared = paths.sparkSession.sparkContext.broadcast(np.concatenate([behind, before]))
 
+    def chosen(words: np.ndarray, seen: np.ndarray) -> pa.RecordBatch:
+        best = 1 + (seen @ shared.value).round(6).argmax(1)
+        return pa.record_batch([pa.array(words.astype(np.int32)), pa.array(best.astype(np.int32))], ["word", "class"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sums the rows of each word, which come one after the other; only the last word's sums are held."""
+        words, seen = np.zeros(0, np.int64), np.zeros((0, 2 * n_classes))
         for batch in batches:
-            found = batch.column(1)
-            cells = found.flatten()
-            at = np.repeat(np.arange(batch.num_rows), found.value_lengths().to_numpy())
-            seen = np.zeros((batch.num_rows, 2 * n_classes))
-            seen[at, cells.field(0).to_numpy()] = cells.field(1).to_numpy()
-            best = 1 + (seen @ shared.value).round(6).argmax(1)
-            yield pa.record_batch([batch.column(0), pa.array(best.astype(np.int32))], ["word", "class"])
-
-    lists = neighbours(paths, class_of, begin, end).groupBy("word").agg(F.collect_list(F.struct("cell", "n")).alias("found"))
-    chosen = lists.mapInArrow(run, "word int, class int").toArrow()
+            if not batch.num_rows:
+                continue
+            found = np.concatenate([words, batch.column(0).to_numpy()])
+            begins = np.flatnonzero(np.diff(found, prepend=-1))
+            place = (np.cumsum(np.diff(found, prepend=-1) != 0) - 1)[len(words) :]
+            lists = batch.column(1).to_pylist()
+            cells = np.frombuffer(b"".join(lists), np.int32).reshape(-1, 2)
+            at = np.repeat(place, [len(x) // 8 for x in lists]) * (2 * n_classes) + cells[:, 0]
+            total = np.bincount(at, cells[:, 1], len(begins) * 2 * n_classes).reshape(len(begins), -1)
+            total[: len(words)] += seen
+            yield chosen(found[begins[:-1]], total[:-1])
+            words, seen = found[begins[-1:]], total[-1:]
+        yield chosen(words, seen)
+
+    rows = neighbours(paths, class_of, begin, end).repartition("word").sortWithinPartitions("word")
+    best = rows.mapInArrow(run, "word int, class int").toArrow()
     out = class_of.copy()
-    out[chosen["word"].to_numpy()] = chosen["class"].to_numpy()
+    out[best["word"].to_numpy()] = best["class"].to_numpy()
     return out
 
 
