@@ -159,3 +159,11 @@ def test_layer_counts_of_columns(spark, death, vocab):
     assert got["specimen", 1]["missing_columns"] == got["specimen", 1]["expected_columns"] == 15
     assert got["specimen", 1]["aligned_columns"] == 0 and got["specimen", 5]["aligned_columns"] is None
     assert all(r["table_rows"] is None for r in conformance.layer_summary(out).collect())
+
+
+def test_references_are_counted_without_text(spark, death):
+    people = spark.createDataFrame([(1, 5)], "person_id BIGINT, provider_id BIGINT")
+    got = conformance.check_table_fk(spark, {"death": death, "person": people})
+    assert got.columns == ["table_name", "column_name", "parent", "dangling_ids", "dangling_rows"]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [ref" in plan and "Aggregate [column_name" not in plan
