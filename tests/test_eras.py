@@ -140,3 +140,22 @@ def test_daily_doses(spark, exposures):
     eras = dose_era(exposures, drug_strength=strength).select("drug_concept_id", "unit_concept_id", "dose_value")
     assert rows(eras) == [(1, 7, 15.0), (1, 8, 6.0), (2, 9, 48.0)]
     assert dose_era(exposures, drug_strength=strength.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_a_drug_that_most_exposures_share_is_no_single_task(spark, limit):
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name, None) for name in off}
+    for name, value in off.items():
+        spark.conf.set(name, value)
+    try:
+        many = spark.range(3000).selectExpr("id as person_id", "if(id < 2900, 0, cast(id % 5 as int)) as drug_concept_id")
+        found = spark.createDataFrame([(d, 10 + d) for d in range(1, 4)], "drug_concept_id INT, ingredient_concept_id INT")
+        out = at_ingredients(many, found, keep_products=True, broadcast_bytes=limit)
+        placed = out.select("person_id", "drug_concept_id", F.spark_partition_id().alias("task")).collect()
+        assert sorted(r[:2] for r in placed) == [(i, 0 if i < 2900 else i % 5 + 10 * (0 < i % 5 < 4)) for i in range(3000)]
+        tasks = [r["task"] for r in placed if r["drug_concept_id"] == 0]
+        assert max(tasks.count(t) for t in set(tasks)) < 1500
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
