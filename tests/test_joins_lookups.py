@@ -15,7 +15,9 @@ from cdmloom.operators.lookups import MAPPING_ROW, apply_lookups, lookup_targets
 from cdmloom.operators.projection import append_lookup_targets, map_columns
 from cdmloom.operators.replacements import replacement_closure, with_final_replacements
 from cdmloom.operators.spread import (
+    TASK_BYTES,
     attach,
+    configure,
     fits_broadcast,
     hot_keys,
     measured_bytes,
@@ -390,3 +392,17 @@ def test_a_lookup_takes_the_end_of_a_chain(spark, vocab):
     )
     facts = spark.createDataFrame([("U1",), ("A",)], "code STRING").alias("f")
     assert rows(apply_lookups(facts, [lookup], chained)) == [("A", 0), ("U1", 103)]
+
+
+def test_sizes_of_tasks_are_bounded_and_smaller_ones_stay(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for given, expected in (("64MB", None), ("1g", None), ("134217728b", None), ("100k", "100k"), ("8m", "8m")):
+            for name in names:
+                spark.conf.set(name, given)
+            configure(spark)
+            assert [spark.conf.get(n) for n in names] == [expected or str(TASK_BYTES[n]) for n in names]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
