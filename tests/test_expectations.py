@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import Observation
 
+from cdmloom.functions.keys import md5_key
 from cdmloom.model.spec import Rule, Rules
 from cdmloom.operators.expectations import (
     apply_expectations,
@@ -11,6 +12,8 @@ from cdmloom.operators.expectations import (
     observe_rules,
     observed_metrics,
 )
+from cdmloom.plans import tables
+from cdmloom.plans.build import build_table
 from tests.conftest import rows
 
 
@@ -61,3 +64,12 @@ def test_observed_while_running(df):
     rules = Rules(drop=(SMALL,), warn=(PRESENT,))
     apply_expectations(observe_rules(df, rules, seen), rules).collect()
     assert rows(observed_metrics(df.sparkSession, rules, seen)) == rows(expectation_metrics(df, rules))
+
+
+def test_a_rule_on_a_key_does_not_compute_it_again(spark, vocab):
+    facts = spark.createDataFrame([(1, 1, "A", "x", None)], "encounter_id BIGINT, line INT, diagnosis_code STRING, diagnosis_type STRING, diagnosis_datetime TIMESTAMP")
+    enc = spark.createDataFrame([(1, 2, 3)], "encounter_id BIGINT, patient_id BIGINT, provider_id BIGINT")
+    spec = tables.condition_occurrence(tables.Style(key=md5_key, vocabulary_id="LOC"))
+    out = build_table(spec, {"dx": facts, "enc": enc}, vocab)
+    assert out.where("condition_occurrence_id is not null").count() == 1
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("md5(") == 1
