@@ -237,8 +237,8 @@ def _xlogx(x: np.ndarray) -> np.ndarray:
 def exchange(bigrams: np.ndarray, n_words: int, classes: int = CLASSES, sweeps: int | None = None) -> np.ndarray:
     """The class of every symbol: the edge is 0, words have 1 to ``classes``, open classes follow.
 
-    Words start in turn by frequency; each move raises the likelihood of the class bigrams, so it ends by itself
-    when none moves, or after ``sweeps``.
+    Words start in turn by frequency; each move raises the likelihood of the class bigrams by more than rounding
+    can, so no state comes twice and it ends by itself when none moves, or after ``sweeps``.
     """
     size, n_classes = len(bigrams), 1 + classes + (len(bigrams) - 1 - n_words)
     of = np.zeros(size, np.int64)
@@ -249,6 +249,7 @@ def exchange(bigrams: np.ndarray, n_words: int, classes: int = CLASSES, sweeps:
     counts = onto.T @ bigrams @ onto
     after, before = bigrams @ onto, bigrams.T @ onto  # of each symbol: what follows, what precedes, by class
     targets = np.arange(1, 1 + classes)
+    rounding = 1e-13 * float(_xlogx(bigrams.sum(dtype=float)))
     for _ in count() if sweeps is None else range(sweeps):
         moved = 0
         for w in range(1, 1 + n_words):
@@ -260,14 +261,14 @@ def exchange(bigrams: np.ndarray, n_words: int, classes: int = CLASSES, sweeps:
             counts[:, own] -= l
             counts[own, own] -= itself
             rows, columns = counts[targets], counts[:, targets].T
-            out_sum, in_sum = counts.sum(1)[targets], counts.sum(0)[targets]
+            # Bigrams of a class with the word on the other side are in that class's sum wherever the word goes.
+            out_sum, in_sum = (counts.sum(1) + l)[targets], (counts.sum(0) + r)[targets]
             diagonal = counts[targets, targets]
             gain = (_xlogx(rows + r) - _xlogx(rows)).sum(1) + (_xlogx(columns + l) - _xlogx(columns)).sum(1)
             gain -= _xlogx(diagonal + r[targets]) + _xlogx(diagonal + l[targets]) - _xlogx(diagonal)
             gain += _xlogx(diagonal + r[targets] + l[targets] + itself)
             gain -= _xlogx(out_sum + r.sum() + itself) - _xlogx(out_sum) + _xlogx(in_sum + l.sum() + itself) - _xlogx(in_sum)
-            gain[np.abs(gain - gain[own - 1]) < 1e-9] = gain[own - 1]
-            new = own if gain[own - 1] >= gain.max() else int(targets[gain.argmax()])
+            new = int(targets[gain.argmax()]) if gain.max() - gain[own - 1] > rounding else own
             counts[new] += r
             counts[:, new] += l
             counts[new, new] += itself

@@ -168,6 +168,33 @@ def test_exchange_raises_likelihood():
     assert values == sorted(values) and values[-1] > values[0]
 
 
+@pytest.mark.parametrize("scale", [1, 10**9])
+@pytest.mark.parametrize("seed", range(4))
+def test_exchange_ends_where_no_move_helps(seed, scale):
+    rng = np.random.default_rng(seed)
+    size, words, kinds = 41, 36, 4
+    share = 1 / np.arange(1, size + 1)
+    bigrams = rng.poisson(4000 * np.outer(share, share) * rng.gamma(0.5, 2, (size, size))) + np.diag(rng.poisson(300 * share))
+    bigrams[7], bigrams[:, 7] = bigrams[6], bigrams[:, 6]  # words alike, so ties
+    bigrams *= scale
+
+    def likelihood(c):
+        onto = np.zeros((size, c.max() + 1))
+        onto[np.arange(size), c] = 1
+        n = onto.T @ bigrams @ onto
+        return lm._xlogx(n).sum() - lm._xlogx(n.sum(0)).sum() - lm._xlogx(n.sum(1)).sum()
+
+    values = [likelihood(lm.exchange(bigrams, words, kinds, sweeps)) for sweeps in range(60)]
+    assert all(b >= a - 1e-9 * abs(a) for a, b in zip(values, values[1:], strict=False))
+    of = lm.exchange(bigrams, words, kinds, 60)
+    assert (of == lm.exchange(bigrams, words, kinds, 61)).all()
+    for w in range(1, 1 + words):
+        for c in range(1, 1 + kinds):
+            other = of.copy()
+            other[w] = c
+            assert likelihood(other) <= values[-1] + 1e-9 * abs(values[-1])
+
+
 def test_held_out_perplexity_beats_unigrams(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     out = lm.score(docs, lm.learn(docs, fold("doc_id", 7) != 2), keep=((fold("doc_id", 7) == 2).alias("held_out"),)).where("held_out")
